@@ -63,10 +63,29 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder once; later reads neither recompute it nor depend on one executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, what: str = "table") -> DataFrame:
+    """Write df to the shared folder once; later reads neither recompute it nor depend on one executor.
+
+    A written table (not an RDD checkpoint), so that later joins see no old
+    partitioning and can split hot keys at run time.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = path
+    return out
+
+
+_WRITTEN: dict[int, str] = {}
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete a table of cut_lineage that nothing reads any more."""
+    path = _WRITTEN.pop(id(df), None)
+    if path:
+        jvm = df.sparkSession._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def replace_file(path: str, data: bytes) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, token_files
+from docweave.llm import audio, bpe, simhash, token_files
 from docweave.llm.common import shared_folder, table
 
 
@@ -28,6 +28,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = audio.audio_features(table(spark, sf_dir, "documents"))
     return out.select(
@@ -42,6 +47,6 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op8_audio_features": op8_audio_features}
+QUERIES = {"op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
 
 ORACLE_SQL: dict[str, str] = {}
