@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, simhash, token_files
-from docweave.llm.common import shared_folder, table
+from docweave.llm import audio, bpe, kneser_ney, simhash, token_files
+from docweave.llm.common import crc_mod, shared_folder, table
 
 
 def _vocabulary(name: str) -> str:
@@ -15,6 +15,13 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    about = kneser_ney.train(docs.filter(crc_mod(F.col("doc_id"), 7) != 2))
+    out = kneser_ney.score(docs, about)
+    return out.select("doc_id", (crc_mod(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     shards = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"))
@@ -47,6 +54,6 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
+QUERIES = {"op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
 
 ORACLE_SQL: dict[str, str] = {}
