@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, kneser_ney, simhash, token_files
+from docweave.llm import audio, bpe, kneser_ney, simhash, token_files, topk
 from docweave.llm.common import crc_mod, shared_folder, table
 
 
@@ -54,6 +54,26 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
-
-ORACLE_SQL: dict[str, str] = {}
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.vec) + 1), lambda i: q.vec[i] * c.vec[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+}
