@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from docweave.llm.common import bounded_batches
 
 #: Entries a worker's memo of pieces may hold before it starts anew.
-MEMO = 400_000
+MEMO = 600_000
 _SPACED = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
@@ -91,6 +92,8 @@ class Encoder:
         self._shorter: dict[int, int] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
+        self._matches: dict[str, bytes] = {}
+        self.lengths = {r: len(t) for t, r in ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
@@ -150,7 +153,7 @@ class Encoder:
 
     def encode_bytes(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
-        if whole is not None and len(data) == 1:
+        if whole is not None:  # an entry stands for itself, whatever merges would make it
             return [whole]
         n = len(data)
         longest = [0] * n
@@ -159,25 +162,29 @@ class Encoder:
             at = end - length + 1
             if length > size[at]:
                 size[at], longest[at] = length, rank
-        text_of, fits, shorter = self.text_of, self.fits, self.shorter
+        lengths, known, shorter = self.lengths, self._fits, self.shorter
         out: list[int] = []
         dead = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while True:
-            end = at + len(text_of[token])
-            if not dead[end] and (not out or fits(out[-1], token)):
-                out.append(token)
-                at = end
-                if at == n:
-                    return out
-                token = longest[at]
-                continue
+            end = at + lengths[token]
+            if not dead[end]:
+                fits = last < 0 or known.get((last, token))
+                if fits is None:
+                    fits = self.fits(last, token)
+                if fits:
+                    out.append(token)
+                    if end == n:
+                        return out
+                    at, last, token = end, token, longest[end]
+                    continue
             token = shorter(token)
             while token < 0:  # nothing starts here: take back the last token and try a shorter one
                 dead[at] = 1
-                last = out.pop()
-                at -= len(text_of[last])
-                token = shorter(last)
+                token = out.pop()
+                at -= lengths[token]
+                token = shorter(token)
+            last = out[-1] if out else -1
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -185,6 +192,20 @@ class Encoder:
             out += self.encode_bytes(match.encode())
         return out
 
+    def encode_packed(self, text: str) -> bytes:
+        """Ids as 32-bit integers; the matches' ids are memoised."""
+        known = self._matches
+        found = self.split.findall(text)
+        if len(known) > MEMO:
+            known.clear()
+        out = []
+        for match in found:
+            ids = known.get(match)
+            if ids is None:
+                ids = known[match] = array("i", self.encode_bytes(match.encode())).tobytes()
+            out.append(ids)
+        return b"".join(out)
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.text_of.__getitem__, ids))
 
@@ -218,13 +239,13 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
         import numpy as np
 
         enc = encoder(ranks_path, pattern)
-        memo = PieceMemo(lambda new: [np.array(enc.encode(" " + p), dtype=np.int32).tobytes() for p in new])
+        memo = PieceMemo(lambda new: [enc.encode_packed(" " + p) for p in new])
         table = np.array([enc.text_of.get(i, b"") for i in range(max(enc.text_of) + 1)], dtype=object)
         for batch in batches:
             ids, decoded = [], []
             for text in _texts(batch.column(1)):
                 parts = pieces(text)
-                head = np.array(enc.encode(parts[0]), dtype=np.int32).tobytes() if parts else b""
+                head = enc.encode_packed(parts[0]) if parts else b""
                 rest = parts[1:]
                 known = memo.add(set(rest))
                 ids.append(head + b"".join(map(known.__getitem__, rest)))
