@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, kneser_ney, simhash, token_files, topk
+from docweave.llm import audio, bpe, kneser_ney, pii, simhash, token_files, topk
 from docweave.llm.common import crc_mod, shared_folder, table
 
 
@@ -54,11 +54,19 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+    of_kind = lambda k: lambda s: s.kind == k
+    count = [F.size(F.filter(base, of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return out.select("doc_id", *count, F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features}
+QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features, "op9_pii": op9_pii}
 
 ORACLE_SQL: dict[str, str] = {
     "op10_exact_top_k": """
