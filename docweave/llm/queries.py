@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, kneser_ney, pii, simhash, token_files, topk
+from docweave.llm import audio, bpe, html_crf, kneser_ney, lang_id, pii, simhash, token_files, topk
 from docweave.llm.common import crc_mod, shared_folder, table
 
 
@@ -28,6 +28,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, folder, shards))
 
 
+def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = lang_id.train(docs.filter(~held_out))
+    return lang_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_crf.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,7 +78,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features, "op9_pii": op9_pii}
+QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op3_lang_id": op3_lang_id, "op4_html_crf": op4_html_crf, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features, "op9_pii": op9_pii}
 
 ORACLE_SQL: dict[str, str] = {
     "op10_exact_top_k": """
