@@ -19,6 +19,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from docweave.llm.common import bounded_batches
 
 #: Entries a worker's memo of pieces may hold before it starts anew.
-MEMO = 600_000
+MEMO = 900_000
 _SPACED = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
@@ -53,7 +54,10 @@ def pieces(text: str) -> list[str]:
 
 
 class PieceMemo:
-    """Maps pieces to values; new pieces of a batch are computed together. Two generations bound the memory."""
+    """Maps pieces to values; new pieces of a batch are computed together.
+
+    A full memo keeps its older half: what is frequent was met early.
+    """
 
     def __init__(self, compute: Callable[[list[str]], list], limit: int = MEMO):
         self.compute, self.limit, self.known = compute, limit, {}
@@ -63,8 +67,8 @@ class PieceMemo:
         new = [p for p in found if p not in known]
         if new:
             if len(known) + len(new) > self.limit:
-                known = self.known = {}
-                new = list(found)
+                known = self.known = dict(islice(known.items(), self.limit // 2))
+                new = [p for p in found if p not in known]
             known.update(zip(new, self.compute(new), strict=True))
         return known
 
@@ -197,7 +201,7 @@ class Encoder:
         known = self._matches
         found = self.split.findall(text)
         if len(known) > MEMO:
-            known.clear()
+            known = self._matches = dict(islice(known.items(), MEMO // 2))
         out = []
         for match in found:
             ids = known.get(match)

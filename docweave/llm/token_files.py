@@ -45,6 +45,30 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 2000) -> list[bytes]:
+    """Ids of texts that may be encoded one by one or joined: joined, and cut where their bytes end.
+
+    lengths: bytes that each id stands for. Where cuts and bytes don't meet (a
+    tokenizer that is not byte-level), the group is encoded text by text.
+    """
+    import numpy as np
+
+    out: list[bytes] = []
+    groups = [texts[k : k + group] for k in range(0, len(texts), group)]
+    for some, whole in zip(groups, tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+        ids = np.array(whole.ids, dtype=np.int64)
+        reach = np.cumsum(lengths[ids])
+        ends = np.cumsum([len(t.encode()) for t in some])
+        at = np.searchsorted(reach, ends)
+        if len(reach) and at[-1] < len(reach) and np.array_equal(reach[at], ends):
+            ids = ids.astype(dtype)
+            edge = [0, *(at + 1).tolist()]
+            out += [ids[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        else:
+            out += [np.array(e.ids, dtype=dtype).tobytes() for e in tok.encode_batch_fast(some, add_special_tokens=False)]
+    return out
+
+
 class ShardWriter:
     """Cuts a stream of ids into sequences and writes them batch by batch."""
 
@@ -133,10 +157,14 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_path: str, end_id: i
         tok = _tokenizer(tokenizer_path)
         dtype = "uint16" if tok.get_vocab_size() <= 1 << 16 else "uint32"
 
+        lengths = np.zeros(tok.get_vocab_size() + 1, np.int64)
+        for entry, i in tok.get_vocab().items():  # a byte-level entry has a character for each byte
+            lengths[i] = len(entry)
+
         def ids_of(texts: list[str]) -> list[bytes]:
             return [np.array(e.ids, dtype=dtype).tobytes() for k in range(0, len(texts), 4096) for e in tok.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
 
-        memo = PieceMemo(lambda new: ids_of([" " + p for p in new]))
+        memo = PieceMemo(lambda new: encode_pieces(tok, lengths, [" " + p for p in new], dtype))
         end = np.array([end_id], dtype=dtype).tobytes()
         name = f"shard-{TaskContext.get().partitionId():06d}"
         writer, at, ids, starts, sizes = None, 0, [], [], []
