@@ -241,25 +241,41 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     return found.select(id_col, F.array_sort(shaped).alias("spans"))
 
 
-def redact(df: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df with each span of a text replaced by its kind in brackets; joined by id, which must be unique in df."""
-    return redact_column(df.join(spans.select(id_col, F.col("spans").alias("_spans")), id_col, "left"), text_col).drop("_spans")
-
-
-def redact_column(df: DataFrame, text_col: str) -> DataFrame:
-    """Replace the spans in column ``_spans`` from the right; overlapping spans of different kinds become one replacement."""
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    order = F.array_sort(F.transform("_spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), s.kind.alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
+    """Patterns of votes of wide candidates that the classifier trained on df takes for personal data."""
+    found = candidates(df, id_col, text_col).select(F.explode("spans.votes").alias("votes"))
+    counts = {r.votes: r.n for r in found.groupBy("votes").agg(F.count("*").alias("n")).collect()}
+    return [c for c, ok in train(counts).items() if ok and not _decode(c)[1]]
+
+
+def redacted(text: str, good: frozenset[int]) -> str:
+    """text with each base span and each wide span of a good pattern replaced by its kind in brackets; overlapping spans become one."""
+    spans = [(a, b, k) for k, found in enumerate(base_spans(text)) for a, b in found]
+    if good:
+        spans += [(a, b, k) for k, a, b in _wide(text) if votes(k, text, a, b, False) in good]
+    if not spans:
+        return text
+    out, at = [], 0
+    for a, b, k in sorted(spans):
+        if a >= at:
+            out += [text[at:a], f"[{KINDS[k].upper()}]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with personal data in text_col replaced; trained on df. All columns stay, null texts stay null; no shuffle."""
+    bounded_batches(df.sparkSession)
+    good = frozenset(decisions(df, id_col, text_col))
+    at, schema = df.columns.index(text_col), ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
 
-    def step(acc, s):
-        fresh = s.start >= acc.at
-        piece = F.array(F.substring(F.col(text_col), acc.at + 1, F.greatest(s.start - acc.at, F.lit(0))), F.element_at(names, s.kind + 1))
-        return F.when(fresh, F.struct(s.end.alias("at"), F.concat(acc.out, piece).alias("out"))).otherwise(F.struct(F.greatest(acc.at, s.end).alias("at"), acc.out.alias("out")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([None if v is None else redacted(v, good) for v in batch.column(at).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], names=df_columns)
 
-    done = F.aggregate(order, start, step)
-    whole = F.concat(F.array_join(done.out, ""), F.expr(f"substring(`{text_col}`, 1 + aggregate(_spans, 0, (a, s) -> greatest(a, s.end)))"))
-    return df.withColumn(text_col, F.when(F.size(F.coalesce("_spans", F.array())) > 0, whole).otherwise(F.col(text_col)))
+    df_columns = df.columns
+    return df.mapInArrow(run, schema)
 
 
 def joined(spans):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, bpe, html_crf, kneser_ney, lang_id, pii, simhash, token_files, topk
+from docweave.llm import audio, bpe, html_crf, kneser_ney, lang_id, mixing, pii, simhash, token_files, topk
 from docweave.llm.common import crc_mod, shared_folder, table
 
 
@@ -40,6 +40,10 @@ def op4_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,7 +82,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op3_lang_id": op3_lang_id, "op4_html_crf": op4_html_crf, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features, "op9_pii": op9_pii}
+QUERIES = {"op10_exact_top_k": op10_exact_top_k, "op1_kneser_ney": op1_kneser_ney, "op2_token_files": op2_token_files, "op3_lang_id": op3_lang_id, "op4_html_crf": op4_html_crf, "op5_mix_sources": op5_mix_sources, "op6_byte_bpe": op6_byte_bpe, "op7_simhash": op7_simhash, "op8_audio_features": op8_audio_features, "op9_pii": op9_pii}
 
 ORACLE_SQL: dict[str, str] = {
     "op10_exact_top_k": """
