@@ -66,7 +66,7 @@ def search(index: Bm25Index, queries: DataFrame, top_k: int = 10, where: dict |
     A top_k below 1 and queries without tokens give nothing.
     """
     found = scores(index, queries, query_id, query, tokenize)
-    order = [F.desc("score"), F.col("doc_idx")]
+    order = [F.desc(F.round("score", 9)), F.col("doc_idx")]  # equal texts tie, however their sums were added up
     if where and prefilter:
         good = index.store.filter(compile_where(where)).select("doc_idx")
         found = found.join(good, "doc_idx", "left_semi")

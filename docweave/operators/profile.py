@@ -91,6 +91,16 @@ def top_terms(df: DataFrame, terms: Column, limit: int = 80, term: str = "term")
     return df.select(F.explode(terms).alias(term)).groupBy(term).agg(F.count("*").alias("count")).orderBy(F.desc("count"), term).limit(limit)
 
 
+def top_ngrams(df: DataFrame, tokens: Column, n: int, limit: int = 80, stopwords: tuple[str, ...] = text.STOPWORDS) -> DataFrame:
+    """The most frequent runs of n tokens without stop words. Stop words are marked once for each token, not for each run."""
+    marked = F.transform(tokens, lambda w: F.when(w.isin(*stopwords), F.lit(None)).otherwise(w))
+    rows = df.select(marked.alias("t")).filter(F.size("t") >= n).select("t", F.explode(F.sequence(F.lit(1), F.size("t") - (n - 1))).alias("i"))
+    words = [F.element_at("t", F.col("i") + k) for k in range(n)]
+    grams = rows.select(*[w.alias(f"w{k}") for k, w in enumerate(words)]).dropna()
+    counts = grams.groupBy(F.concat_ws(" ", *grams.columns).alias("term")).agg(F.count("*").alias("count"))
+    return counts.orderBy(F.desc("count"), "term").limit(limit)
+
+
 def marker_counts(df: DataFrame, column: str, markers: tuple[str, ...] = text.STRUCTURED_MARKERS) -> DataFrame:
     """(marker, count, rate): rows whose text has the marker as a word, in capitals or not."""
     upper = F.upper(text.text_of(column))
@@ -110,12 +120,13 @@ def variant_mentions(df: DataFrame, column: str, concepts: dict[str, list[str]],
 
 def density(df: DataFrame, column: str, key: str, top: int = 10) -> DataFrame:
     """For each row: words, sentences, mean sentence words, mentions of its ``top`` abbreviations, their density, statistics, ``term(count)`` list."""
-    base = df.select(key, text.word_count(column).alias("words"), text.sentence_stats(column).alias("s"), text.statistic_markers(column).alias("statistic_mentions"), F.explode_outer(text.abbreviations(column)).alias("term"))
-    counts = base.groupBy(key, "words", "s", "statistic_mentions", "term").agg(F.count("term").alias("n"))
+    base = df.select(key, text.word_count(column).alias("words"), text.sentence_stats(column).alias("s"), text.statistic_markers(column).alias("statistic_mentions"), text.abbreviations(column).alias("terms"))
+    base = base.select(key, "words", F.col("s.sentences").alias("sentences"), F.col("s.mean_words").alias("mean_words"), "statistic_mentions", F.explode_outer("terms").alias("term"))
+    counts = base.groupBy(key, "words", "sentences", "mean_words", "statistic_mentions", "term").agg(F.count("term").alias("n"))
     ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "term"))).filter(F.col("r") <= top)
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.struct("r", "term", "n")))), lambda x: F.concat(x.term, F.lit("("), x.n.cast("string"), F.lit(")"))), "; ")
-    out = ranked.groupBy(key, "words", "s", "statistic_mentions").agg(F.sum("n").alias("mentions"), listed.alias("top_abbreviations"))
-    return out.select(key, "words", F.col("s.sentences").alias("sentences"), F.round("s.mean_words", 2).alias("mean_sentence_words"), "mentions", F.round(F.col("mentions") / F.greatest(F.lit(1), F.col("words")) * 1000, 2).alias("per_1000_words"), "statistic_mentions", "top_abbreviations")
+    out = ranked.groupBy(key, "words", "sentences", "mean_words", "statistic_mentions").agg(F.sum("n").alias("mentions"), listed.alias("top_abbreviations"))
+    return out.select(key, "words", "sentences", F.round("mean_words", 2).alias("mean_sentence_words"), "mentions", F.round(F.col("mentions") / F.greatest(F.lit(1), F.col("words")) * 1000, 2).alias("per_1000_words"), "statistic_mentions", "top_abbreviations")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:

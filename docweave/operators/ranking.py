@@ -35,10 +35,10 @@ def score(df: DataFrame, current_year: int, weights: dict[str, float] | None = N
     return out.withColumn("final_rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("final_score"), F.desc("relevance_score"), "chunk_id")))
 
 
-def document_key(*columns: str) -> Column:
+def document_key(*columns: Column | str) -> Column:
     """The first that isn't blank; an error where all are."""
     keys = [F.nullif(F.btrim(text_of(c)), F.lit("")) for c in columns]
-    return F.coalesce(*keys, F.raise_error(F.lit("a candidate needs one of: " + ", ".join(columns))).cast("string"))
+    return F.coalesce(*keys, F.raise_error(F.lit(f"a candidate needs one of {len(columns)} document ids")).cast("string"))
 
 
 def dedupe_documents(df: DataFrame, key: Column, top_k: int | None = None, query_id: str = "query_id") -> DataFrame:

@@ -30,7 +30,7 @@ def _knn_batch(corpus: DataFrame, keys: list, matrix: np.ndarray, top_k: int, id
                 continue
             x = np.array([column[i].values.to_numpy() for i in good], dtype=np.float64)
             size = np.sqrt((x * x).sum(1))
-            s = q @ (x / np.where(size > 0, size, 1)[:, None]).T
+            s = np.round(q @ (x / np.where(size > 0, size, 1)[:, None]).T, 12)
             at = np.arange(s.shape[1])[None, :].repeat(len(q), 0)
             if s.shape[1] > top_k:  # what ties with the last place stays in
                 least = -np.partition(-s, top_k - 1, axis=1)[:, top_k - 1 : top_k]
@@ -74,7 +74,7 @@ def knn(corpus: DataFrame, queries: DataFrame, top_k: int = 10, where: dict | No
     flush()
     if out is None:
         out = corpus.sparkSession.createDataFrame([], f"query_id {kind}, `{id_col}` {corpus.schema[id_col].dataType.simpleString()}, score double")
-    best = top_per_group(out, ["query_id"], [F.desc("score"), F.col(id_col)], top_k)
+    best = top_per_group(out, ["query_id"], [F.desc(F.round("score", 9)), F.col(id_col)], top_k)
     return best.select(F.col("query_id").alias(query_id), "rank", id_col, "score", (1 - F.col("score")).alias("distance"))
 
 
