@@ -30,7 +30,7 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int |
 
 def dedupe_ci(values: Column) -> Column:
     """Stripped, non-empty values, the first of those that differ in case only, in order."""
-    clean = F.filter(F.transform(values, F.btrim), lambda v: v != "")
+    clean = F.filter(F.transform(values, lambda v: F.btrim(v)), lambda v: v != "")
 
     def step(acc: Column, v: Column) -> Column:
         return F.when(F.exists(acc, lambda a: F.lower(a) == F.lower(v)), acc).otherwise(F.concat(acc, F.array(v)))

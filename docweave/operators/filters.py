@@ -23,7 +23,7 @@ def merge_where(first: dict | None, second: dict | None) -> dict | None:
 
 
 def compile_where(where: dict | None, column=F.col) -> Column:
-    """A predicate that is never null.
+    """A predicate for ``filter``, in the forms that sources can evaluate themselves.
 
     ``$and`` or ``$or`` excludes its siblings; plain equality compares texts;
     ``$eq``, ``$ne``, ``$in`` and ``$nin`` compare values; unknown operators pass.
@@ -41,15 +41,15 @@ def compile_where(where: dict | None, column=F.col) -> Column:
         if isinstance(wanted, dict):
             for op, value in wanted.items():
                 if op == "$eq":
-                    out = out & F.coalesce(c == F.lit(value), F.lit(False))
+                    out = out & (c == F.lit(value))
                 elif op == "$ne":
-                    out = out & F.coalesce(c != F.lit(value), F.lit(True))
+                    out = out & ((c != F.lit(value)) | c.isNull())
                 elif op == "$in":
-                    out = out & F.coalesce(c.isin(list(value)), F.lit(False))
+                    out = out & c.isin(list(value))
                 elif op == "$nin":
-                    out = out & ~F.coalesce(c.isin(list(value)), F.lit(False))
+                    out = out & (~c.isin(list(value)) | c.isNull())
         else:
-            out = out & F.coalesce(c.cast("string") == F.lit(str(wanted)), F.lit(False))
+            out = out & (c.cast("string") == F.lit(str(wanted)))
     return out
 
 

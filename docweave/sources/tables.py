@@ -114,7 +114,7 @@ def concepts(raw: DataFrame, most_terms: int = 30) -> DataFrame:
     from docweave.operators.common import dedupe_ci
 
     terms = F.transform(F.concat(F.array("preferred_term"), F.coalesce("terms", F.array().cast("array<string>"))), text.collapse)
-    good = F.slice(F.filter(dedupe_ci(terms), text.term_ok), 1, most_terms)
+    good = F.slice(F.filter(dedupe_ci(terms), lambda t: text.term_ok(t)), 1, most_terms)
     out = raw.withColumn("terms", good)
     why = F.when(text.is_empty("concept_id"), "missing_id").when(text.is_empty("preferred_term"), "missing_preferred_term").when(F.size("terms") == 0, "no_valid_terms")
     return out.withColumn("term_count", F.size("terms")).withColumn("skip_reason", why)
