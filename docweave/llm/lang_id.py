@@ -71,22 +71,28 @@ def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.nd
     return out
 
 
-def fit(x: np.ndarray, labels: list[str], landmarks: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
-    """(languages, DIM x languages weights on presence rows divided by the root of their sums)."""
+def fit(bits: np.ndarray, labels: list[str], landmarks: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
+    """(languages, DIM x languages weights on presence rows divided by the root of their sums).
+
+    bits: the sample's presence rows, packed; they are unpacked a few at a time.
+    """
     names = sorted(set(labels))
     if not names:
         return [], np.zeros((DIM, 0), np.float32)
-    size = np.sqrt(np.maximum(1, x.sum(1)))[:, None]
-    x = x.astype(np.float32) / size.astype(np.float32)
-    step = max(1, len(x) // landmarks)
-    marks = x[::step][:landmarks]
+
+    def rows(some: np.ndarray) -> np.ndarray:
+        x = np.unpackbits(some, axis=1)
+        return x.astype(np.float32) / np.sqrt(np.maximum(1, x.sum(1, dtype=np.float32)))[:, None]
+
+    marks = rows(bits[:: max(1, len(bits) // landmarks)][:landmarks])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     basis = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ marks.T).astype(np.float64) @ basis
+    kernel = np.concatenate([rows(bits[a : a + 256]) @ marks.T for a in range(0, len(bits), 256)])
+    phi = kernel.astype(np.float64) @ basis
     y = np.where(np.array(labels)[:, None] == np.array(names), 1.0, -1.0)
-    weight = np.linalg.solve(phi.T @ phi + RIDGE * len(x) * np.eye(phi.shape[1]), phi.T @ y)
-    return names, (marks.T.astype(np.float64) @ (basis @ weight)).astype(np.float32)
+    weight = np.linalg.solve(phi.T @ phi + RIDGE * len(bits) * np.eye(phi.shape[1]), phi.T @ y)
+    return names, marks.T @ (basis @ weight).astype(np.float32)
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -95,7 +101,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = df.filter(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, F.monotonically_increasing_id()).alias("h"))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return fit(np.zeros((0, DIM), bool), [])
+        return fit(np.zeros((0, DIM // 8), np.uint8), [])
     most = min(SAMPLE, max(1, SAMPLE_ALL // len(sizes)))
     part = F.lit(0.0)
     for name, n in sizes.items():
@@ -111,8 +117,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     sample = rows.filter(F.pmod("h", F.lit(1 << 30)) < part * (1 << 30)).mapInArrow(run, "lang string, h bigint, bits binary").collect()
     sample.sort(key=lambda r: (r.h, r.lang))
-    x = np.unpackbits(np.array([np.frombuffer(r.bits, np.uint8) for r in sample]).reshape(-1, DIM // 8), axis=1).astype(bool)
-    return fit(x, [r.lang for r in sample])
+    return fit(np.array([np.frombuffer(r.bits, np.uint8) for r in sample], np.uint8).reshape(-1, DIM // 8), [r.lang for r in sample])
 
 
 def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
