@@ -8,6 +8,7 @@ Routing, numbering, ids and quality are column expressions.
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Callable
 
 import pandas as pd
@@ -34,17 +35,16 @@ def _cut(s: str, sep: str) -> list[str]:
     return [p for p in (head, *(sep + r for r in rest)) if p]
 
 
-def _pack(parts: list[str], size: int, overlap: int, length: Callable[[str], int]) -> list[str]:
-    """Runs of parts within size, each starting with the parts that end the run before, within overlap."""
+def _pack(parts: list[tuple[str, int]], size: int, overlap: int) -> list[str]:
+    """Runs of parts (text, length) within size, each starting with the parts that end the run before, within overlap."""
     out: list[str] = []
-    run: list[tuple[str, int]] = []
+    run: deque[tuple[str, int]] = deque()
     total = 0
-    for p in parts:
-        n = length(p)
+    for p, n in parts:
         if run and total + n > size:
             out.append("".join(x for x, _ in run).strip())
             while run and (total > overlap or total + n > size):
-                total -= run.pop(0)[1]
+                total -= run.popleft()[1]
         run.append((p, n))
         total += n
     out.append("".join(x for x, _ in run).strip())
@@ -58,16 +58,17 @@ def split_text(s: str, size: int = SIZE, overlap: int = OVERLAP, length: Callabl
     k = next((i for i, sep in enumerate(separators) if not sep or sep in s), len(separators) - 1)
     finer = separators[k + 1 :]
     out: list[str] = []
-    fitting: list[str] = []
+    fitting: list[tuple[str, int]] = []
     for part in _cut(s, separators[k]):
-        if length(part) < size:
-            fitting.append(part)
+        n = length(part)
+        if n < size:
+            fitting.append((part, n))
             continue
         if fitting:
-            out += _pack(fitting, size, overlap, length)
+            out += _pack(fitting, size, overlap)
             fitting = []
         out += split_text(part, size, overlap, length, finer) if finer else [part]
-    return out + (_pack(fitting, size, overlap, length) if fitting else [])
+    return out + (_pack(fitting, size, overlap) if fitting else [])
 
 
 def with_prefix(title: str, section: str, body: str) -> str:
@@ -138,7 +139,8 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
         count = F.pandas_udf(lambda s: s.map(lambda x: length(x or "")), "int")
         tokens = count(text.join_parts(F.col("title"), F.col("body")))
     named = F.when(~text.is_empty("title"), F.col("title")).otherwise(F.concat(F.lit("[Missing title: "), F.col("doc_id"), F.lit("]")))
-    base = docs.withColumns({"_title": named, "_route": text.route(tokens, F.size(F.coalesce("sections", F.array().cast(_SECTION))) > 0, limit)})
+    some = F.exists(F.coalesce(F.col("sections").cast(_SECTION), F.array().cast(_SECTION)), lambda s: ~text.is_empty(s.section_text))  # else splitting them gives nothing
+    base = docs.withColumns({"_title": named, "_route": text.route(tokens, some, limit)})
 
     def section(title: str, body: Column) -> Column:
         return F.array(F.struct(F.lit(0).alias("section_index"), F.lit(title).alias("section_title"), F.lit(title).alias("section_title_norm"), body.alias("section_text")))
@@ -146,18 +148,10 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
     whole = section("whole_document", text.text_of("body"))
     full = section("full_text", text.join_parts(F.col("title"), F.col("body")))
     wanted = F.when(F.col("_route") == "whole_document_under_512", whole).when(F.col("_route") == "semantic_section", F.col("sections").cast(_SECTION)).otherwise(full)
-    split = limit_splitter(size, overlap, limit, length)
-
-    def pieces(df: DataFrame, sections: Column) -> DataFrame:
-        # an inner explode, then one batch-wise split for each section
-        rows = df.select("*", F.posexplode(sections).alias("_at", "_s"))
-        rows = rows.withColumn("_p", split(F.col("_s.section_text"), F.col("_title"), F.col("_s.section_title")))
-        return rows.select("*", F.posexplode("_p").alias("_k", "_text"))
-
-    first = pieces(base, wanted)
-    lost = base.filter(F.col("_route") == "semantic_section").join(first.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("_route", F.lit("recursive_fallback_no_section"))
-    rows = first.unionByName(pieces(lost, full))
-    return number_chunks(rows, docs.columns)
+    # an inner explode, then one batch-wise split for each section
+    rows = base.select("*", F.posexplode(wanted).alias("_at", "_s"))
+    rows = rows.withColumn("_p", limit_splitter(size, overlap, limit, length)(F.col("_s.section_text"), F.col("_title"), F.col("_s.section_title")))
+    return number_chunks(rows.select("*", F.posexplode("_p").alias("_k", "_text")), docs.columns)
 
 
 def number_chunks(rows: DataFrame, carried: list[str]) -> DataFrame:
