@@ -32,55 +32,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.common import bounded_batches, replace_file, shared_folder
+from docweave.llm.hashing import mix, random_codes, span_hashes
 
 #: Tokens that a task counts before it sends blocks.
 FLUSH = 3_000_000
 #: Bytes of text for each bucket, and the fewest bits of a bucket number.
 BUCKET_BYTES, LEAST_BITS = 16 << 20, 6
 HOT = 512
-_CHUNK = 1 << 20
 _U = np.uint64
 
 
-def _random(n: int, seed: int) -> np.ndarray:
-    """n fixed odd 64-bit numbers (splitmix64)."""
-    out, state = [], seed
-    for _ in range(n):
-        state = (state + 0x9E3779B97F4A7C15) & (2**64 - 1)
-        z = state
-        z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & (2**64 - 1)
-        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & (2**64 - 1)
-        out.append((z ^ (z >> 31)) | 1)
-    return np.array(out, dtype=np.uint64)
-
-
-_CODE = _random(256, 1)
+_CODE = random_codes(256, 1)
 _CODE[65:91] = _CODE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
-_BASE = int(_random(1, 7)[0])
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> _U(29))) * _U(0xA3B195354A39B70D)
-    return h ^ (h >> _U(32))
-
-
 END = mix(np.array([0xE0D], dtype=np.uint64))[0]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(_CHUNK, n)
-    if size not in _POWERS:
-        _POWERS.clear()
-        up, down = (np.full(size, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 2**64)))
-        up[0] = down[0] = 1
-        _POWERS[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _POWERS[size]
-
-
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all tokens, offsets of each text's tokens) of UTF-8 texts data[offsets[i]:offsets[i+1]], ends included."""
     n = len(data)
@@ -91,21 +59,12 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         edge = offsets[(offsets > 0) & (offsets < n)]
         first[edge], last[edge - 1] = True, True
     starts, ends = np.flatnonzero(first & ~space), np.flatnonzero(last & ~space) + 1
-    words = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _CHUNK, "right")))
-        a, b = starts[i], ends[j - 1]
-        up, down = _powers(int(b - a))
-        total = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(_CODE[data[a:b]] * up[: b - a], out=total[1:])
-        words[i:j] = (total[ends[i:j] - a] - total[starts[i:j] - a]) * down[starts[i:j] - a]
-        i = j
+    words = span_hashes(data, starts, ends, _CODE)
     cuts = np.searchsorted(starts, offsets) + np.arange(len(offsets))
     out = np.full(len(words) + len(offsets) - 1, END, np.uint64)
     keep = np.ones(len(out), bool)
     keep[cuts[1:] - 1] = False
-    out[keep] = mix(words)
+    out[keep] = words
     return out, cuts
 
 
@@ -125,6 +84,12 @@ def counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at], np.diff(np.append(at, len(x)))
 
 
+def with_end(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys, the end among them."""
+    at = int(np.searchsorted(keys, END))
+    return keys if at < len(keys) and keys[at] == END else np.insert(keys, at, END)
+
+
 def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order and the sums of their values."""
     order = np.argsort(keys)
@@ -234,7 +199,7 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
             before = np.concatenate([[END], stream[:-1]])
             before[cuts[:-1]] = END
             keys, _ = counted(stream)
-            known = np.union1d(keys, np.array([END]))
+            known = with_end(keys)
             a, b = (np.searchsorted(known, x).astype(np.uint64) for x in (before, stream))
             pair, n = counted((a << _U(32)) | b)
             first, second = known[pair >> _U(32)], known[pair & _U(0xFFFFFFFF)]
@@ -356,7 +321,7 @@ class Model:
         """(known tokens, base log10, model log10) of each text."""
         m = self.about
         keys, _ = counted(stream)
-        keys = np.union1d(keys, np.array([END]))
+        keys = with_end(keys)
         n, before = self.find("word", keys, {"n": 1, "before": 1})
         (context,) = self.find("context", keys, {"n": 4})
         if len(self.hot):

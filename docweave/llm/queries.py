@@ -25,7 +25,7 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     shards = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"))
-    return token_files.digest(token_files.read_token_files(spark, folder, shards))
+    return token_files.read_digests(spark, folder, shards)
 
 
 def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:

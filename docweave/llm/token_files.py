@@ -19,14 +19,18 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.bpe import PieceMemo, pieces
+from docweave.llm.bpe import MEMO
 from docweave.llm.common import bounded_batches
+from docweave.llm.hashing import random_codes, span_hashes
+from docweave.llm.kneser_ney import texts_of
 
 SEQ_LEN = 1024
 #: Sequences of a batch.
@@ -45,14 +49,12 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 2000) -> list[bytes]:
+def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 200) -> list[bytes]:
     """Ids of texts that may be encoded one by one or joined: joined, and cut where their bytes end.
 
     lengths: bytes that each id stands for. Where cuts and bytes don't meet (a
     tokenizer that is not byte-level), the group is encoded text by text.
     """
-    import numpy as np
-
     out: list[bytes] = []
     groups = [texts[k : k + group] for k in range(0, len(texts), group)]
     for some, whole in zip(groups, tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
@@ -69,6 +71,109 @@ def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 2000)
     return out
 
 
+_CODE = random_codes(256, 11)
+
+
+def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces start: at texts, and at spaces after a character that isn't white space.
+
+    No match of a byte-level tokenizer's split pattern goes on from other
+    characters into white space, so pieces can be encoded one by one.
+    """
+    at = np.flatnonzero(data == 32)
+    at = at[at > 0]
+    last = data[at - 1]
+    good = (last > 32) & (last != 127)
+    wide = np.flatnonzero(last >= 128)
+    if len(wide):  # the white space of Unicode, by its bytes
+        p, k = last[wide], at[wide]
+        two, three = data[np.maximum(k - 2, 0)], data[np.maximum(k - 3, 0)]
+        space = (two == 0xC2) & ((p == 0x85) | (p == 0xA0)) | (three == 0xE1) & (two == 0x9A) & (p == 0x80) | (three == 0xE3) & (two == 0x80) & (p == 0x80)
+        space |= (three == 0xE2) & ((two == 0x80) & ((p <= 0x8A) | (p == 0xA8) | (p == 0xA9) | (p == 0xAF)) | (two == 0x81) & (p == 0x9F))
+        good[wide] = ~space
+    mark = np.zeros(len(data), bool)
+    mark[at[good]] = True
+    mark[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(mark)
+
+
+class BatchEncoder:
+    """Encodes batches of texts; each distinct piece of a batch is looked up, or encoded, once.
+
+    Pieces are told apart by 64-bit hashes. A text whose ids stand for another
+    number of bytes than it has is encoded as a whole instead.
+    """
+
+    def __init__(self, tok, end_id: int, limit: int = MEMO):
+        self.tok, self.dtype = tok, "uint16" if tok.get_vocab_size() <= 1 << 16 else "uint32"
+        self.bare = _bare(tok)
+        self.lengths = np.zeros(tok.get_vocab_size() + 1, np.int64)
+        for entry, i in tok.get_vocab().items():  # a byte-level entry has a character for each byte
+            self.lengths[i] = len(entry)
+        self.end = np.array([end_id], self.dtype)
+        self.limit, self.known = limit, {}
+
+    def _values(self, data: np.ndarray, hashes: list[int], starts: list[int], ends: list[int]) -> list[bytes]:
+        found = [*map(self.known.get, hashes)]
+        new = [k for k, v in enumerate(found) if v is None]
+        if new:
+            texts = [data[starts[k] : ends[k]].tobytes().decode() for k in new]
+            for k, v in zip(new, encode_pieces(self.bare, self.lengths, texts, self.dtype), strict=True):
+                found[k] = v
+            if len(self.known) + len(new) > self.limit:
+                self.known = dict(islice(self.known.items(), self.limit // 2))  # what is frequent was met early
+            self.known.update((hashes[k], found[k]) for k in new)
+        return found
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, an end after each; number of ids of each text)."""
+        data, offsets = texts_of(column)
+        starts = _starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        h = span_hashes(data, starts, ends, _CODE)
+        distinct = np.sort(h)
+        distinct = distinct[np.concatenate([[True], distinct[1:] != distinct[:-1]])] if len(h) else distinct
+        which = np.searchsorted(distinct, h)
+        example = np.zeros(len(distinct), np.int64)
+        example[which] = np.arange(len(h))
+        values = self._values(data, distinct.tolist(), starts[example].tolist(), ends[example].tolist())
+        values.append(self.end.tobytes())
+        size = np.array([len(v) for v in values], np.int64) // self.end.itemsize
+        flat = np.frombuffer(b"".join(values), self.dtype)
+        base = np.cumsum(size) - size
+        # the end token is one more piece after each text's
+        cuts = np.searchsorted(starts, offsets) + np.arange(len(offsets))
+        pieces = np.full(len(h) + len(offsets) - 1, len(distinct), np.int64)
+        keep = np.ones(len(pieces), bool)
+        keep[cuts[1:] - 1] = False
+        pieces[keep] = which
+        n = size[pieces]
+        reach = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(base[pieces] - reach[:-1], n) + np.arange(reach[-1])]
+        sizes = reach[cuts[1:]] - reach[cuts[:-1]]
+        stands = np.concatenate([[0], np.cumsum(self.lengths[ids])])[reach[cuts]]
+        wrong = np.flatnonzero(np.diff(stands) - self.lengths[self.end[0]] != np.diff(offsets))
+        if len(wrong):
+            parts = np.split(ids, reach[cuts[1:-1]])
+            for k, e in zip(wrong, self.tok.encode_batch_fast([column[int(k)].as_py() or "" for k in wrong], add_special_tokens=False), strict=True):
+                parts[k] = np.append(np.array(e.ids, self.dtype), self.end)
+            ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return ids, sizes
+
+
+def _bare(tok):
+    """The tokenizer without what changes no ids here: special tokens, which are ordinary text, and post-processing."""
+    from tokenizers import Tokenizer
+
+    if not all(t.special for t in tok.get_added_tokens_decoder().values()):
+        return tok
+    out = Tokenizer(tok.model)
+    out.pre_tokenizer = tok.pre_tokenizer
+    if tok.normalizer is not None:
+        out.normalizer = tok.normalizer
+    return out
+
+
 class ShardWriter:
     """Cuts a stream of ids into sequences and writes them batch by batch."""
 
@@ -84,8 +189,6 @@ class ShardWriter:
     def _batch(self, data: bytes, real: int) -> None:
         n = len(data) // self.width
         ids = pa.Array.from_buffers(self.value, n, [None, pa.py_buffer(data)])
-        import numpy as np
-
         mask = pa.array(np.arange(n) < real)
         self.writer.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(x, self.seq_len) for x in (ids, mask)], schema=self.schema))
 
@@ -127,8 +230,6 @@ class TokenShard:
 
     def tokens(self, start: int, n: int):
         """The n ids from offset start on."""
-        import numpy as np
-
         step, out = SEQUENCES * self.seq_len, []
         while n > 0:
             batch, at = divmod(start, step)
@@ -152,36 +253,19 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_path: str, end_id: i
     rows = df.select(F.col(id_col).cast("bigint" if kind == "bigint" else "string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        tok = _tokenizer(tokenizer_path)
-        dtype = "uint16" if tok.get_vocab_size() <= 1 << 16 else "uint32"
-
-        lengths = np.zeros(tok.get_vocab_size() + 1, np.int64)
-        for entry, i in tok.get_vocab().items():  # a byte-level entry has a character for each byte
-            lengths[i] = len(entry)
-
-        def ids_of(texts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, dtype=dtype).tobytes() for k in range(0, len(texts), 4096) for e in tok.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
-
-        memo = PieceMemo(lambda new: encode_pieces(tok, lengths, [" " + p for p in new], dtype))
-        end = np.array([end_id], dtype=dtype).tobytes()
+        coder = BatchEncoder(_tokenizer(tokenizer_path), end_id)
         name = f"shard-{TaskContext.get().partitionId():06d}"
         writer, at, ids, starts, sizes = None, 0, [], [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            writer = writer or ShardWriter(f"{folder}/{name}.arrow", dtype, seq_len)
-            cut = [pieces(x) for x in batch.column(1).to_pylist()]
-            known = memo.add({p for c in cut for p in c[1:]})
-            heads = iter(ids_of([c[0] for c in cut if c]))
-            for key, c in zip(batch.column(0).to_pylist(), cut, strict=True):
-                data = (next(heads) + b"".join(map(known.__getitem__, c[1:])) if c else b"") + end
-                ids.append(key)
-                starts.append(at)
-                sizes.append(len(data) // writer.width)
-                at += sizes[-1]
-                writer.add(data)
+            writer = writer or ShardWriter(f"{folder}/{name}.arrow", coder.dtype, seq_len)
+            flat, n = coder.encode(batch.column(1))
+            ids += batch.column(0).to_pylist()
+            starts += (at + np.cumsum(n) - n).tolist()
+            sizes += n.tolist()
+            at += len(flat)
+            writer.add(flat.tobytes())
         if writer is None:
             return
         writer.close()
@@ -206,8 +290,6 @@ def read_token_files(spark: SparkSession, folder: str, shards: list[tuple[str, i
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         for batch in batches:
             for shard, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = TokenShard(f"{folder}/{shard}.arrow")
@@ -228,17 +310,22 @@ def read_token_files(spark: SparkSession, folder: str, shards: list[tuple[str, i
     return rows.repartition(max(1, len(shards))).mapInArrow(run, f"`{id_col}` {id_type}, start bigint, n_tokens bigint, ids array<int>")
 
 
-def digest(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, start, n_tokens, ids_crc32): crc32 of the ids as little-endian unsigned 32-bit integers."""
+def read_digests(spark: SparkSession, folder: str, shards: list[tuple[str, int, int]], id_col: str = "doc_id", id_type: str = "bigint") -> DataFrame:
+    """(id, start, n_tokens, ids_crc32) read from the shards: crc32 of a document's ids as little-endian unsigned 32-bit integers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    As :func:`read_token_files`, but the ids are digested where they are mapped.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(3)
-            flat, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.array(crc, dtype=np.int64))], names=[id_col, "start", "n_tokens", "ids_crc32"])
+            for shard, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = TokenShard(f"{folder}/{shard}.arrow")
+                docs = pa.ipc.open_file(pa.memory_map(f"{folder}/{shard}.docs.arrow"))
+                for k in range(docs.num_record_batches):
+                    index = docs.get_batch(k)
+                    start, n = (index.column(c).to_numpy() for c in (1, 2))
+                    crc = [zlib.crc32(tokens.tokens(a, b).astype("<u4")) for a, b in zip(start.tolist(), n.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([index.column(0), pa.array(start + first), pa.array(n), pa.array(np.array(crc, dtype=np.int64))], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, "start", "n_tokens", "ids").mapInArrow(run, f"`{id_col}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = spark.createDataFrame([(s, b) for s, b, _ in shards], "shard string, first bigint")
+    return rows.repartition(max(1, len(shards))).mapInArrow(run, f"`{id_col}` {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -19,6 +19,9 @@ OWN = bpe.Encoder(RANKS, P.PATTERN)
 REFERENCE = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
+CODER = token_files.BatchEncoder(token_files._tokenizer(P.path("byte_bpe_50k.json")), 0)
+
+
 def whole(text):
     return [i for k, p in enumerate(bpe.pieces(text)) for i in OWN.encode((" " if k else "") + p)]
 
@@ -67,7 +70,7 @@ def test_token_files_round_trip(spark, tmp_path):
         want.append((d[0], at, len(ids), ids))
         at += len(ids)
     assert sorted(map(tuple, rows), key=lambda r: r[1]) == want
-    digest = {(r.doc_id, r.start): r.ids_crc32 for r in token_files.digest(token_files.read_token_files(spark, folder, shards)).collect()}
+    digest = {(r.doc_id, r.start): r.ids_crc32 for r in token_files.read_digests(spark, folder, shards).collect()}
     assert all(digest[d, s] == zlib.crc32(np.array(i, "<u4").tobytes()) for d, s, _, i in want)
     reader = token_files.TokenShard(f"{folder}/{shards[0][0]}.arrow")
     first, mask = reader.sequence(0)
@@ -75,6 +78,24 @@ def test_token_files_round_trip(spark, tmp_path):
     assert pa.types.is_fixed_size_list(reader.file.schema.field("ids").type)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.text(alphabet="ab \n\u3000\xa0é's.1\x1f", max_size=60)), max_size=6))
+def test_batches_equal_whole_texts(texts):
+    tok = token_files._tokenizer(P.path("byte_bpe_50k.json"))
+    texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
+    ids, sizes = CODER.encode(pa.array(texts, pa.string()))
+    want = [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_coder_keeps_its_memo_bounded():
+    small = token_files.BatchEncoder(token_files._tokenizer(P.path("byte_bpe_50k.json")), 0, limit=6)
+    for k in range(5):
+        texts = [f"word{k} word{k + 1} some more words", "word0"]
+        assert small.encode(pa.array(texts))[0].tolist() == CODER.encode(pa.array(texts))[0].tolist()
+        assert len(small.known) <= 9
+
+
 def test_an_empty_table_has_no_shards(spark, tmp_path):
     shards = token_files.write_token_files(documents(spark, []), str(tmp_path), P.path("byte_bpe_50k.json"))
     assert shards == [] and token_files.read_token_files(spark, str(tmp_path), shards).count() == 0
