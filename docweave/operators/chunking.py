@@ -122,6 +122,24 @@ def limit_splitter(size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT,
     return split
 
 
+def split_or_keep(size: int = SIZE, overlap: int = OVERLAP, keep_under: int = LIMIT, length: Callable[[str], int] = approx_len):
+    """UDF text -> (pieces, how): whole if it is within keep_under tokens, else split."""
+
+    @F.pandas_udf("struct<pieces:array<string>,how:string>")
+    def split(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for s in texts:
+            if not s or not s.strip():
+                rows.append(([], "empty"))
+            elif length(s) <= keep_under:
+                rows.append(([s], "section_whole_under_512"))
+            else:
+                rows.append((split_text(s, size, overlap, length), "section_recursive_over_512"))
+        return pd.DataFrame(rows, columns=["pieces", "how"])
+
+    return split
+
+
 _SECTION = "array<struct<section_index:int,section_title:string,section_title_norm:string,section_text:string>>"
 
 
@@ -154,6 +172,20 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
     return number_chunks(rows.select("*", F.posexplode("_p").alias("_k", "_text")), docs.columns)
 
 
+def with_front_section(docs: DataFrame) -> DataFrame:
+    """docs with title and abstract as a first section, before the others."""
+    body = text.join_parts(F.col("title"), F.col("abstract"))
+    front = F.array(F.struct(F.lit(-1).alias("section_index"), F.lit("Title and abstract").alias("section_title"), F.lit("title and abstract").alias("section_title_norm"), body.alias("section_text"))).cast(_SECTION)
+    rest = F.coalesce(F.col("sections").cast(_SECTION), F.array().cast(_SECTION))
+    return docs.withColumn("sections", F.when(body == "", rest).otherwise(F.concat(front, rest)))
+
+
+def chunk_abstracts(docs: DataFrame, text_col: str = "text_title_abstract", id_col: str = "doc_id", size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT) -> DataFrame:
+    """(id, chunk_index, text) of short texts: whole within the limit, else split; blank ones give none."""
+    pieces = docs.filter(~text.is_empty(text_col)).select(id_col, splitter(size, overlap, keep_under=limit)(F.col(text_col)).alias("p"))
+    return pieces.select(id_col, F.posexplode("p").alias("chunk_index", "text"))
+
+
 def number_chunks(rows: DataFrame, carried: list[str]) -> DataFrame:
     """Chunk index, total and id in each document, by section and position."""
     from pyspark.sql.window import Window

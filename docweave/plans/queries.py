@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.functions import numeric, text, udf
-from docweave.operators import bm25, chunking, evaluation, filters, fusion, profile, ranking, understanding, vectors
+from docweave.operators import bm25, chunking, evaluation, filters, fusion, profile, ranking, reporting, understanding, vectors
 from docweave.operators.common import row_index, tall, top_per_group
 from docweave.plans.retrieval import Retrieval
 from docweave.session import ship
@@ -403,6 +403,37 @@ def event_windows(spark, sf_dir):
     return _r(d.select(F.col("w.start").alias("window_start"), "event_type", "n", "total"), "total")
 
 
+@query(f"""WITH t AS (SELECT n, CASE WHEN n <= 0 THEN 0 WHEN n <= 400 THEN 1 ELSE 1 + CAST(ceil((n - 400) / 320) AS BIGINT) END AS e FROM (SELECT {_TOKENS.format('text')} AS n FROM documents)),
+r AS (SELECT count(*)::DOUBLE AS documents, round(avg(n), 6) AS mean, round(quantile_cont(n, 0.5), 6) AS median, round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99, count(*) FILTER (WHERE n > 512)::DOUBLE AS over_512,
+ round(count(*) FILTER (WHERE n > 512) / count(*), 6) AS over_512_rate, sum(e)::DOUBLE AS estimated_chunks, round(quantile_cont(e, 0.95), 6) AS estimated_chunks_p95 FROM t)
+SELECT metric, value FROM r UNPIVOT (value FOR metric IN (documents, mean, median, p95, p99, over_512, over_512_rate, estimated_chunks, estimated_chunks_p95))""")
+def split_summary(spark, sf_dir):
+    n = text.approx_token_len("text")
+    d = table(spark, sf_dir, "documents").select(n.alias("n"), text.chunk_estimate(n).alias("e"))
+    return _r(reporting.split_summary(d, "n", "e"), "value")
+
+
+@query("SELECT source, string_agg(lang || '=' || n, '; ' ORDER BY lang || '=' || n) AS breakdown FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL) GROUP BY source")
+def source_breakdown(spark, sf_dir):
+    return reporting.breakdown(table(spark, sf_dir, "documents"), "source", "lang")
+
+
+@query("SELECT role AS route, count(*) AS documents, sum(n)::BIGINT AS chunks, round(avg(n), 6) AS mean, quantile_cont(n, 0.5) AS median, round(quantile_cont(n, 0.95), 6) AS p95 FROM (SELECT role, conv_id, count(*) AS n FROM conversations GROUP BY ALL) GROUP BY role")
+def rows_per_document(spark, sf_dir):
+    out = reporting.chunks_per_document(table(spark, sf_dir, "conversations"), "role", "conv_id")
+    return _r(out.withColumnRenamed("role", "route"), "mean", "p95")
+
+
+@query("SELECT count(*) AS rows, bool_and(props IS NOT NULL AND value IS NOT NULL) AS all_complete, round(count(*) FILTER (WHERE props IS NOT NULL AND value IS NOT NULL) / count(*), 6) AS complete_rate FROM events")
+def completeness(spark, sf_dir):
+    return _r(reporting.completeness(table(spark, sf_dir, "events"), ["props", "value"]), "complete_rate")
+
+
+@query("SELECT round(avg(n_chars), 3) AS mean, min(n_chars)::DOUBLE AS min, max(n_chars)::DOUBLE AS max, round(quantile_cont(n_chars, 0.95), 6) AS p95 FROM documents")
+def token_stats(spark, sf_dir):
+    return _r(reporting.token_stats(table(spark, sf_dir, "documents"), "n_chars"), "p95")
+
+
 @query()
 def chunks(spark, sf_dir):
     """All documents as chunks: paragraphs are sections."""
