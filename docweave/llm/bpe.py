@@ -24,10 +24,10 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweave.llm.common import bounded_batches
+from docweave.llm.common import bounded_batches, release_memory
 
-#: Entries a worker's memo of pieces may hold before it starts anew.
-MEMO = 900_000
+#: Entries that a task's memos of pieces and of pattern matches may hold.
+MEMO, MATCHES = 500_000, 300_000
 _SPACED = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
@@ -200,8 +200,8 @@ class Encoder:
         """Ids as 32-bit integers; the matches' ids are memoised."""
         known = self._matches
         found = self.split.findall(text)
-        if len(known) > MEMO:
-            known = self._matches = dict(islice(known.items(), MEMO // 2))
+        if len(known) > MATCHES:
+            known = self._matches = dict(islice(known.items(), MATCHES // 2))
         out = []
         for match in found:
             ids = known.get(match)
@@ -245,19 +245,23 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
         enc = encoder(ranks_path, pattern)
         memo = PieceMemo(lambda new: [enc.encode_packed(" " + p) for p in new])
         table = np.array([enc.text_of.get(i, b"") for i in range(max(enc.text_of) + 1)], dtype=object)
-        for batch in batches:
-            ids, decoded = [], []
-            for text in _texts(batch.column(1)):
-                parts = pieces(text)
-                head = enc.encode_packed(parts[0]) if parts else b""
-                rest = parts[1:]
-                known = memo.add(set(rest))
-                ids.append(head + b"".join(map(known.__getitem__, rest)))
-                decoded.append(b"".join(table[np.frombuffer(ids[-1], dtype=np.int32)].tolist()))
-            flat = np.frombuffer(b"".join(ids), dtype=np.int32)
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.binary())], names=[id_col, "ids", "decoded"])
+        try:
+            for batch in batches:
+                ids, decoded = [], []
+                for text in _texts(batch.column(1)):
+                    parts = pieces(text)
+                    head = enc.encode_packed(parts[0]) if parts else b""
+                    rest = parts[1:]
+                    known = memo.add(set(rest))
+                    ids.append(head + b"".join(map(known.__getitem__, rest)))
+                    decoded.append(b"".join(table[np.frombuffer(ids[-1], dtype=np.int32)].tolist()))
+                flat = np.frombuffer(b"".join(ids), dtype=np.int32)
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.binary())], names=[id_col, "ids", "decoded"])
+        finally:  # memos are a task's own
+            memo.known = enc._matches = {}
+            release_memory()
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, ids array<int>, decoded binary")
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, replace_file, shared_folder
+from docweave.llm.common import bounded_batches, release_memory, replace_file, shared_folder
 from docweave.llm.hashing import mix, random_codes, span_hashes
 
 #: Tokens that a task counts before it sends blocks.
@@ -213,6 +213,7 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
                 run = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1], [True]]))
                 rows.append((int(bucket[lo]), pack(f[run[:-1]], np.diff(run).astype(np.uint32), second[lo:hi], _small(n[lo:hi]))))
             yield _blocks(rows)
+        release_memory()
 
     def merge_pairs(rows: pa.Table) -> pa.Table:
         number = rows.column("bucket")[0].as_py()
@@ -388,5 +389,6 @@ def score(df: DataFrame, about: dict, id_col: str = "doc_id", text_col: str = "t
             known, base, logs = model.score(stream, cuts)
             n = np.diff(cuts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(known), pa.array(np.full(len(n), about["tokens"])), pa.array(base), pa.array(logs), pa.array(10 ** np.minimum(300, -logs / n))], names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+        release_memory()
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")

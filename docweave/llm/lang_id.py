@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches
+from docweave.llm.common import bounded_batches, release_memory
 from docweave.llm.kneser_ney import texts_of
 
 DIM = 1 << 14
@@ -147,6 +147,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
             best[und_] = len(names)
             score[und] = 1.0
             yield pa.RecordBatch.from_arrays([batch.column(0), *([batch.column(1)] if text_col in keep else []), *batch.columns[2:], pa.array(names_[best], pa.string()), pa.array(np.round(score.astype(np.float64), 6))], names=[id_col, *([text_col] if text_col in keep else []), *rest, "lang_pred", "score"])
+        release_memory()
 
     types = dict(df.dtypes)
     out = [id_col, *([text_col] if text_col in keep else []), *rest]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, cut_lineage
+from docweave.llm.common import bounded_batches, cut_lineage, release_memory
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -273,6 +273,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         for batch in batches:
             texts = pa.array([None if v is None else redacted(v, good) for v in batch.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], names=df_columns)
+        release_memory()
 
     df_columns = df.columns
     return df.mapInArrow(run, schema)

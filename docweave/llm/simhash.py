@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, cut_lineage
+from docweave.llm.common import bounded_batches, cut_lineage, release_memory
 from docweave.llm.components import components
 
 SEED = 42
@@ -70,6 +70,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             fps = np.array([fingerprint(x.as_py() or "") for x in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+        release_memory()
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 

@@ -27,14 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.bpe import MEMO
-from docweave.llm.common import bounded_batches
+from docweave.llm.common import bounded_batches, release_memory
 from docweave.llm.hashing import random_codes, span_hashes
 from docweave.llm.kneser_ney import texts_of
 
 SEQ_LEN = 1024
 #: Sequences of a batch.
 SEQUENCES = 256
+#: Entries that a task's memo of pieces may hold.
+MEMO = 700_000
 
 _TOKENIZERS: dict[str, object] = {}
 
@@ -274,6 +275,8 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_path: str, end_id: i
         with pa.OSFile(own, "wb") as sink, pa.ipc.new_file(sink, table.schema) as out:
             out.write_table(table, max_chunksize=65536)
         os.replace(own, f"{folder}/{name}.docs.arrow")
+        del coder, table
+        release_memory()
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()), pa.array([len(ids)], pa.int64())], names=["shard", "n_tokens", "n_docs"])
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
