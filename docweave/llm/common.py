@@ -72,16 +72,13 @@ def cut_lineage(df: DataFrame, what: str = "table") -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _WRITTEN[id(out)] = path
+    out.__dict__["_written_to"] = path
     return out
 
 
-_WRITTEN: dict[int, str] = {}
-
-
 def drop_written(df: DataFrame) -> None:
     """Delete a table of cut_lineage that nothing reads any more."""
-    path = _WRITTEN.pop(id(df), None)
+    path = df.__dict__.pop("_written_to", None)
     if path:
         jvm = df.sparkSession._jvm
         at = jvm.org.apache.hadoop.fs.Path(path)
