@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as cp
 from docweave.llm import mixing, simhash
 from docweave.llm.common import cut_lineage
@@ -34,3 +36,15 @@ def test_empty_documents_pass_through(spark):
     for _, stage in cp.STAGES:
         out = stage(spark, docs, "")
         assert out.count() == 0
+
+
+def test_language_stage_keeps_clean_texts_of_any_length(spark):
+    words = {"en": "the and of to with from this that were which", "de": "der und die das nicht mit von auch wurde welche", "fr": "le et les des dans avec pour cette mais leur", "es": "el y los las con para esta pero sus desde"}
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(words[lang].split(), k=rng.randint(3, 60))), lang, "s", 1) for i, lang in enumerate(sorted(words) * 60)]
+    alphabet = "abcdefghijklmnopqrstuvwxyzäöüßéè"
+    long = " ".join("".join(rng.choices(alphabet, k=rng.randint(2, 9))) for _ in range(400_000))
+    rows += [(1000 + k, t, None, "s", len(t)) for k, t in enumerate(["Guten Tag", "Avec.", "Hi", "a", "Oui", long])]
+    docs = spark.createDataFrame([*rows, (2000, "12 34", None, "s", 5), (2001, None, None, "s", 0)], SCHEMA)
+    assert len(long) > 2 << 20
+    assert {r.doc_id for r in cp.language_id(spark, docs, "").select("doc_id").collect()} == {r[0] for r in rows}
