@@ -39,26 +39,32 @@ GROUP, SPLIT = 50_000, 400_000
 _PART = 1 << 16
 
 
-def fingerprint(text: str, size: int = 3) -> int:
-    """64 bits: each is set if it is set in over half of the hashes of the text's word shingles; 0 without words."""
+def shingle_hashes(text: str, size: int) -> Iterator[np.ndarray]:
+    """Hashes of the text's word shingles, a part at a time; a text of fewer words has one shingle, without words none."""
     import xxhash
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return
     size = min(size, len(words))
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate([[0], ends[:-1]])[: len(words) - size + 1].tolist()
     ends = (ends[size - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    total = np.zeros(64, np.int64)
     for k in range(0, len(starts), _PART):
-        h = np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + _PART], ends[k : k + _PART], strict=True)], dtype="<u8")
+        yield np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + _PART], ends[k : k + _PART], strict=True)], dtype="<u8")
+
+
+def fingerprint(text: str, size: int = 3) -> int:
+    """64 bits: each is set if it is set in over half of the hashes of the text's word shingles; 0 without words."""
+    total, n = np.zeros(64, np.int64), 0
+    for h in shingle_hashes(text, size):
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
         # eight byte-wide counters in a word; 255 rows can't overflow them
         total += np.add.reduceat(bits, np.arange(0, len(h), 255), axis=0).view(np.uint8).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(starts), bitorder="little").view("<u8")[0])
+        n += len(h)
+    return int(np.packbits(total * 2 > n, bitorder="little").view("<u8")[0]) if n else 0
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
