@@ -31,6 +31,14 @@ def test_dedup_keeps_one_of_each_component(spark):
     assert {r.doc_id for r in cp.near_dedup(spark, docs, "").collect()} == want
 
 
+def test_dedup_keeps_unlike_texts_of_one_id(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcd"}
+    rows = [(1, text["a"]), (1, text["b"]), (2, text["a"]), (3, text["c"]), (3, text["c"]), (4, text["c"]), (4, text["d"])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = sorted((r.doc_id, r.text) for r in cp.near_dedup(spark, docs, "").collect())
+    assert got == [(1, text["a"]), (1, text["b"]), (3, text["c"]), (4, text["d"])]
+
+
 def test_empty_documents_pass_through(spark):
     docs = documents(spark, [])
     for _, stage in cp.STAGES:
