@@ -6,31 +6,40 @@ first among the released blocks gets the slot. So after any number t of slots a
 source has had more than w t - 1 and fewer than w t + 1 blocks, for as long as
 all sources have blocks left.
 
-Weights are rounded to shares of a period of SLOTS slots (largest remainders, one
-slot at least). The schedule repeats itself with every period, so one period is
-scheduled, whatever the number of rows, and the slot of each block follows by
-arithmetic. A row's block is its rank in its source, from counts of small hash
-buckets: no task sorts or counts a whole source.
+Weights are exact fractions, so release and deadline follow the target weight
+over the whole run, however long. The driver walks through the blocks once and
+keeps only how many blocks each source has had after every SLOTS blocks (a row
+for each such period); tasks schedule the periods again from there.
+A row's block is its rank in its source, from counts of small hash buckets: no
+task sorts or counts a whole source.
 
 No row is dropped or repeated: when a source has no blocks left its slots are
 empty, and the others go on in their shares. A null source is a source of its
-own; a source without a weight gets the smallest share.
+own; a source without a weight, or with weight zero, gets the smallest weight
+over SLOTS.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docweave.llm.common import bounded_batches, cut_lineage
+
 #: Slots of a period; rows of a block; rows that a hash bucket should hold.
 SLOTS, BLOCK_ROWS, BUCKET_ROWS = 4096, 32, 50_000
 
 
 def shares(weights: dict[str, float], slots: int = SLOTS) -> dict[str, int]:
-    """Whole slots of a period for each source, in proportion to its weight, adding up to the period."""
+    """Whole slots of a period for each source, in proportion to its weight, adding up to the period (``mix`` doesn't round)."""
     if not weights:
         return {}
     if any(w < 0 for w in weights.values()):
@@ -49,22 +58,72 @@ def shares(weights: dict[str, float], slots: int = SLOTS) -> dict[str, int]:
     return out
 
 
+class Schedule:
+    """Earliest deadline first by exact weights, for sources of ``sizes`` blocks, from slot ``at`` on, where source k has had ``had[k]`` blocks.
+
+    weights: whole numbers; source k is due weights[k] / sum(weights) of the slots.
+    """
+
+    def __init__(self, weights: list[int], sizes: list[int], at: int = 0, had: list[int] | None = None):
+        self.weights, self.sizes, self.total, self.at = weights, sizes, sum(weights), at
+        self.had = list(had) if had else [0] * len(weights)
+        self.ready: list[tuple[int, int]] = []
+        self.later: list[tuple[int, int]] = []
+        for k in range(len(weights)):
+            self._put(k)
+
+    def _put(self, k: int) -> None:
+        if self.had[k] < self.sizes[k]:
+            heapq.heappush(self.later, (self.had[k] * self.total // self.weights[k], k))
+
+    def __iter__(self) -> Iterator[tuple[int, int, int, int, int]]:
+        """(source, block, release, deadline, slot) by slot; slots for which no block is released are left out."""
+        while self.later or self.ready:
+            if not self.ready:
+                self.at = max(self.at, self.later[0][0])
+            while self.later and self.later[0][0] <= self.at:
+                k = heapq.heappop(self.later)[1]
+                heapq.heappush(self.ready, (-(-(self.had[k] + 1) * self.total // self.weights[k]), k))
+            due, k = heapq.heappop(self.ready)
+            if due <= self.at:
+                raise AssertionError("a block missed its deadline")
+            out = k, self.had[k], self.had[k] * self.total // self.weights[k], due, self.at
+            self.had[k] += 1
+            self.at += 1
+            self._put(k)
+            yield out
+
+
+def whole(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    exact = [Fraction(w) for w in weights]
+    unit = math.lcm(*(x.denominator for x in exact))
+    return [int(x * unit) for x in exact]
+
+
 def period(share: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
     """(source, block, release, deadline, slot) of each block of one period, by slot."""
-    total = sum(share.values())
-    released: dict[int, list] = {}
-    for s, p in share.items():
-        for i in range(p):
-            released.setdefault(i * total // p, []).append((-(-(i + 1) * total // p), s, i))
-    out, ready = [], []
-    for t in range(total):
-        for x in released.get(t, ()):
-            heapq.heappush(ready, x)
-        due, s, i = heapq.heappop(ready)
-        if due <= t:
-            raise AssertionError("a block missed its deadline")
-        out.append((s, i, i * total // share[s], due, t))
-    return out
+    names = list(share)
+    return [(names[k], *rest) for k, *rest in Schedule([*share.values()], [*share.values()])]
+
+
+def plan(spark: SparkSession, names: list[str], weights: list[int], blocks: list[int], slots: int) -> DataFrame:
+    """(_s, block, release, deadline, slot): a row for each block of the run."""
+    run, states = Schedule(weights, blocks), [(0, [0] * len(names))]
+    for n, _ in enumerate(run, 1):
+        if n % slots == 0:
+            states.append((run.at, list(run.had)))
+    bounded_batches(spark)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, had in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                k, *rest = zip(*itertools.islice(Schedule(weights, blocks, at, had), slots), strict=True) if had != blocks else ((),) * 5
+                yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in k], pa.string()), *(pa.array(x, pa.int64()) for x in rest)], names=["_s", "block", "release", "deadline", "slot"])
+
+    periods = spark.createDataFrame(states, "at long, had array<long>")
+    # written, so that its size is known: small ones are broadcast, large ones meet the rows in a shuffle
+    return cut_lineage(periods.mapInArrow(again, "_s string, block long, release long, deadline long, slot long"), "schedule")
 
 
 def _key(source):
@@ -86,10 +145,13 @@ def mix(df: DataFrame, weights: dict[str | None, float] | None = None, temper: f
         wanted = {s: n**temper for s, n in sizes.items()}
     else:
         given = {"" if s is None else f"={s}": w for s, w in weights.items()}
-        least = min(given.values(), default=1.0) or 1.0
+        least = min((w for w in given.values() if w > 0), default=1.0)
         wanted = {s: given.get(s, least / slots) for s in sizes}
-    share = shares(wanted, slots)
-    total = sum(share.values())
+    if any(w < 0 for w in wanted.values()):
+        raise ValueError("weights can't be negative")
+    least = min((w for w in wanted.values() if w), default=1.0)
+    names = sorted(sizes)
+    exact = whole([wanted[s] or least / slots for s in names])
     buckets = max(64, -(-sum(sizes.values()) // BUCKET_ROWS))
     h = F.xxhash64(id_col)
     rows = df.withColumn("_s", source).withColumn("_h", h).withColumn("_b", F.pmod("_h", F.lit(buckets)))
@@ -100,12 +162,9 @@ def mix(df: DataFrame, weights: dict[str | None, float] | None = None, temper: f
     ranked = rows.withColumn("_r", F.row_number().over(within)).join(offsets, ["_s", "_b"])
     rank = F.col("_offset") + F.col("_r") - 1
     ranked = ranked.withColumn("place", (rank % block_rows).cast("int")).withColumn("block", F.floor(rank / block_rows))
-    plan = spark.createDataFrame([(s, i, r, d, t, share[s]) for s, i, r, d, t in period(share)] or [("", 0, 0, 0, 0, 1)], "_s string, _i long, _release long, _deadline long, _slot long, _share long")
-    per = spark.createDataFrame([(s, p) for s, p in share.items()] or [("", 1)], "_s string, _p long")
-    # both small tables have one row for each slot of a period, or for each source
-    out = ranked.join(F.broadcast(per), "_s").withColumn("_i", F.col("block") % F.col("_p")).join(F.broadcast(plan), ["_s", "_i"])
-    start = F.floor(F.col("block") / F.col("_p")) * total
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], "block", (start + F.col("_release")).alias("release"), (start + F.col("_deadline")).alias("deadline"), (start + F.col("_slot")).alias("slot"), "place")
+    blocks = [-(-sizes[s] // block_rows) for s in names]
+    out = ranked.join(plan(spark, names, exact, blocks, max(slots, 2 * len(names))), ["_s", "block"])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "block", "release", "deadline", "slot", "place")
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

@@ -252,3 +252,34 @@ def test_mixing_keeps_rows_and_blocks(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     assert mixing.mix(documents(spark), {"a": 1.0, "b": 2.0}).count() == len(DOCS)
 
+
+
+@pytest.mark.parametrize("n,blocks", [(20, 130_000), (2100, 30_000)])
+def test_lag_to_exact_weights_stays_under_one_block(n, blocks):
+    sizes = [blocks // 3] + [2 * blocks // 3 // (n - 1)] * (n - 1)
+    weights = mixing.whole([(32.0 * x) ** 0.7 for x in sizes])
+    got, total, first = np.zeros(n), sum(weights), 0
+    exact = np.array([w / total for w in weights])
+    for t, (k, i, release, due, slot) in enumerate(mixing.Schedule(weights, sizes)):
+        if got[k] == sizes[k] or slot != t:
+            break  # a source has run out
+        assert i == got[k] and release <= slot < due
+        got[k] += 1
+        first = t + 1
+        if t % 97 == 0:
+            assert np.abs(got - exact * first).max() < 1 + 1e-6
+    assert first > blocks // 2
+
+
+def test_mixing_follows_the_weights_and_not_a_rounded_period(spark):
+    rows = [(i, "abc"[i % 3]) for i in range(900)]
+    weights = {"a": 0.6180339, "b": 0.3, "c": 0.0819661}
+    a, b, c = mixing.whole(list(weights.values()))
+    share = {"a": a, "b": b, "c": c}
+    total = a + b + c
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_rows=2, slots=16).collect()
+    assert len(out) == 900 and len({r.slot for r in out}) == 450
+    for r in out:
+        assert r.release == r.block * total // share[r.source] and r.deadline == -(-(r.block + 1) * total // share[r.source]) and r.release <= r.slot < r.deadline
+    few = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"a": 1.0, "b": 1e-9, "c": 0.0}, block_rows=2).collect()
+    assert len(few) == 900 and all(r.release <= r.slot < r.deadline for r in few)
