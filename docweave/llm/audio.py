@@ -5,8 +5,8 @@ are computed from what is read back: a polyphase filter resamples 24 kHz to
 16 kHz, overlapped Hann frames give log-mel energies, and two thresholds (with
 hysteresis) cut the frames into loud segments with time spans. Log-mel frames
 are stored as patches of one fixed shape (64 frames of 32 bands, uint8 in steps
-of half a decibel, padded with zeros), which :func:`write_patches` stores as
-fixed-shape Arrow tensors with their time spans.
+of half a decibel, padded with zeros) in fixed-shape Arrow tensors with their
+time spans, by :func:`audio_features` given a folder or by :func:`write_patches`.
 
 Each text is handled on its own and in slabs of frames, so that equal texts have
 equal values whatever else is in the batch, and a very long text needs little
@@ -135,9 +135,33 @@ FRAME_MS = 1000 * HOP * DOWN / (RATE * UP)
 SCHEMA = "n_bytes bigint, media binary, payload binary, n_frames bigint, patches binary, segments array<struct<start_ms:double,end_ms:double>>"
 
 
-def audio_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _tensors(ids: pa.Array, values: list[bytes], id_col: str) -> pa.RecordBatch:
+    """A row for each patch: the id, the time span, the patch as a fixed-shape tensor."""
+    n = np.array([len(v) // (PATCH * MELS) for v in values], np.int64)
+    start = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * PATCH * FRAME_MS
+    storage = pa.FixedSizeListArray.from_arrays(pa.array(np.frombuffer(b"".join(values), np.uint8)), PATCH * MELS)
+    tensor = pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.uint8(), (PATCH, MELS)), storage)
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(start), pa.array(start + PATCH * FRAME_MS), tensor], names=[id_col, "start_ms", "end_ms", "patch"])
+
+
+def _stored(path: str, ids: pa.Array, values: list[bytes], id_col: str) -> list[bytes]:
+    """The patches of each row as they are read back from the tensor file that this writes."""
+    own, batch = f"{path}.{uuid.uuid4().hex}", _tensors(ids, values, id_col)
+    with pa.ipc.new_file(own, batch.schema) as writer:
+        writer.write_batch(batch)
+    with pa.memory_map(own) as source:
+        back = pa.ipc.open_file(source).get_batch(0).column("patch").storage.flatten().to_numpy().tobytes()
+    os.replace(own, path)
+    ends = np.cumsum([len(v) for v in values]).tolist()
+    return [back[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def audio_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
     """The stored media of each text, the payload read back from it, and its features; a row in, a row out.
 
+    With a folder that executors share, patches are stored there as fixed-shape
+    tensors (a file for each batch) and returned as read back from it.
+
     media: the WAV bytes; payload: its samples; patches: PATCH x MELS levels of
     each patch, one after the other; segments: time spans of loud passages.
     """
@@ -145,7 +169,7 @@ def audio_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for k, batch in enumerate(batches):
             rows: list[tuple] = []
             for value in batch.column(1):
                 data = (value.as_py() or "").encode()
@@ -155,6 +179,8 @@ def audio_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 spans = [{"start_ms": a * FRAME_MS, "end_ms": b * FRAME_MS} for a, b in segments(energy)]
                 rows.append((len(data), media, payload, len(levels), patches(levels).tobytes(), spans))
             n, media, payload, frames, mel, spans = (list(x) for x in zip(*rows, strict=True)) if rows else ([],) * 6
+            if folder and rows:
+                mel = _stored(f"{folder}/patches-{TaskContext.get().partitionId():06d}-{k:06d}.arrow", batch.column(0), mel, id_col)
             span = pa.list_(pa.struct([("start_ms", pa.float64()), ("end_ms", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(media, pa.binary()), pa.array(payload, pa.binary()), pa.array(frames, pa.int64()), pa.array(mel, pa.binary()), pa.array(spans, span)], names=[id_col, "n_bytes", "media", "payload", "n_frames", "patches", "segments"])
 
@@ -163,20 +189,14 @@ def audio_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def write_patches(features: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     """Store patches as fixed-shape Arrow tensors with time spans in a folder that executors share; a row for each file."""
-    tensor = pa.fixed_shape_tensor(pa.uint8(), (PATCH, MELS))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/patches-{TaskContext.get().partitionId():06d}.arrow"
         own, n, writer = f"{path}.{uuid.uuid4().hex}", 0, None
         for batch in batches:
-            for key, data in zip(batch.column(0), batch.column(1), strict=True):
-                flat = np.frombuffer(data.as_py(), np.uint8).reshape(-1, PATCH * MELS)
-                start = np.arange(len(flat)) * PATCH * FRAME_MS
-                storage = pa.FixedSizeListArray.from_arrays(pa.array(flat.reshape(-1)), PATCH * MELS)
-                rows = pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(flat), batch.schema.field(0).type), pa.array(start), pa.array(start + PATCH * FRAME_MS), pa.ExtensionArray.from_storage(tensor, storage)], names=[id_col, "start_ms", "end_ms", "patch"])
-                writer = writer or pa.ipc.new_file(own, rows.schema)
-                writer.write_batch(rows)
-                n += len(flat)
+            rows = _tensors(batch.column(0), batch.column(1).to_pylist(), id_col)
+            writer = writer or pa.ipc.new_file(own, rows.schema)
+            writer.write_batch(rows)
+            n += rows.num_rows
         if writer:
             writer.close()
             os.replace(own, path)

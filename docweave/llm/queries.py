@@ -57,7 +57,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = audio.audio_features(table(spark, sf_dir, "documents"))
+    out = audio.audio_features(table(spark, sf_dir, "documents"), folder=shared_folder(spark, "patches"))
     return out.select(
         "doc_id",
         "n_bytes",

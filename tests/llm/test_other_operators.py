@@ -1,12 +1,15 @@
 import random
 import re
+import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.llm import audio, html_crf, lang_id, mixing, pii, topk
+from docweave.llm import audio, html_crf, lang_id, mixing, pii, queries, topk
+from docweave.llm.common import checkpoint_dir
 
 from .helpers import DOCS, documents
 
@@ -57,6 +60,22 @@ def test_patches_are_tensors(spark, tmp_path):
     assert tables[0].schema.field("patch").type == pa.fixed_shape_tensor(pa.uint8(), (audio.PATCH, audio.MELS))
 
 
+def test_query_stores_the_tensors_it_describes(spark, tmp_path):
+    documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    shared = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("patches-*/*.arrow"))
+    rows = queries.op8_audio_features(spark, str(tmp_path)).collect()
+    stored = {}
+    for file in set(shared.glob("patches-*/*.arrow")) - before:
+        for r in pa.ipc.open_file(pa.memory_map(str(file))).read_all().select(["doc_id", "start_ms", "patch"]).to_pylist():
+            stored.setdefault(r["doc_id"], []).append((r["start_ms"], np.asarray(r["patch"], np.uint8).tobytes()))
+    for r in rows:
+        frames, crc, *_ = r.feature.split(":")
+        copies = sum(x.doc_id == r.doc_id for x in rows)
+        patches = [x for _, x in sorted(stored[r.doc_id])][::copies]
+        assert len(patches) == -(-int(frames) // audio.PATCH) and zlib.crc32(b"".join(patches)) == int(crc)
+
+
 # personal data
 
 E_, I_, C_, P_ = (re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"))
