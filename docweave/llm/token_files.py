@@ -98,11 +98,16 @@ def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark)
 
 
+#: Bytes of pieces compared at once.
+_COMPARED = 1 << 20
+
+
 class BatchEncoder:
     """Encodes batches of texts; each distinct piece of a batch is looked up, or encoded, once.
 
-    Pieces are told apart by 64-bit hashes. A text whose ids stand for another
-    number of bytes than it has is encoded as a whole instead.
+    Pieces are found by 64-bit hashes and their bytes are compared. A text with a
+    piece that differs from the one found, or whose ids stand for another number
+    of bytes than it has, is encoded as a whole instead.
     """
 
     def __init__(self, tok, end_id: int, limit: int = MEMO):
@@ -114,18 +119,37 @@ class BatchEncoder:
         self.end = np.array([end_id], self.dtype)
         self.limit, self.known = limit, {}
 
-    def _values(self, data: np.ndarray, hashes: list[int], starts: list[int], ends: list[int]) -> list[bytes]:
+    def _values(self, data: np.ndarray, hashes: list[int], starts: list[int], ends: list[int]) -> list[tuple[bytes, bytes]]:
+        """(piece, its ids) by hash; the piece may be another one of the same hash, met before."""
         found = [*map(self.known.get, hashes)]
         new = [k for k, v in enumerate(found) if v is None]
         if new:
-            texts = [data[starts[k] : ends[k]].tobytes().decode() for k in new]
-            for k, v in zip(new, encode_pieces(self.bare, self.lengths, texts, self.dtype), strict=True):
-                found[k] = v
+            parts = [data[starts[k] : ends[k]].tobytes() for k in new]
+            for k, *v in zip(new, parts, encode_pieces(self.bare, self.lengths, [p.decode() for p in parts], self.dtype), strict=True):
+                found[k] = tuple(v)
             if len(self.known) + len(new) > self.limit:
                 self.known = dict(islice(self.known.items(), self.limit // 2))  # what is frequent was met early
             self.known.update((hashes[k], found[k]) for k in new)
         return found
 
+    @staticmethod
+    def _differ(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.ndarray, parts: list[bytes]) -> np.ndarray:
+        """Indices of the pieces data[starts[i]:ends[i]] that aren't parts[which[i]]; a part of the data at a time."""
+        size = np.array([len(p) for p in parts], np.int64)
+        flat, base = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(size) - size
+        out = [np.flatnonzero(size[which] != ends - starts)]
+        i = 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + _COMPARED, "right")))
+            n = np.minimum(ends[i:j] - starts[i:j], size[which[i:j]])
+            first = np.cumsum(n) - n
+            step = np.arange(n.sum())
+            bad = np.flatnonzero(data[np.repeat(starts[i:j] - first, n) + step] != flat[np.repeat(base[which[i:j]] - first, n) + step])
+            if len(bad):
+                out.append(i + np.unique(np.searchsorted(first + n, bad, "right")))
+            i = j
+        return np.concatenate(out)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, an end after each; number of ids of each text)."""
         data, offsets = texts_of(column)
@@ -137,7 +161,9 @@ class BatchEncoder:
         which = np.searchsorted(distinct, h)
         example = np.zeros(len(distinct), np.int64)
         example[which] = np.arange(len(h))
-        values = self._values(data, distinct.tolist(), starts[example].tolist(), ends[example].tolist())
+        found = self._values(data, distinct.tolist(), starts[example].tolist(), ends[example].tolist())
+        differ = self._differ(data, starts, ends, which, [p for p, _ in found])
+        values = [v for _, v in found]
         values.append(self.end.tobytes())
         size = np.array([len(v) for v in values], np.int64) // self.end.itemsize
         flat = np.frombuffer(b"".join(values), self.dtype)
@@ -153,7 +179,9 @@ class BatchEncoder:
         ids = flat[np.repeat(base[pieces] - reach[:-1], n) + np.arange(reach[-1])]
         sizes = reach[cuts[1:]] - reach[cuts[:-1]]
         stands = np.concatenate([[0], np.cumsum(self.lengths[ids])])[reach[cuts]]
-        wrong = np.flatnonzero(np.diff(stands) - self.lengths[self.end[0]] != np.diff(offsets))
+        wrong = np.diff(stands) - self.lengths[self.end[0]] != np.diff(offsets)
+        wrong[np.searchsorted(offsets, starts[differ], "right") - 1] = True
+        wrong = np.flatnonzero(wrong)
         if len(wrong):
             parts = np.split(ids, reach[cuts[1:-1]])
             for k, e in zip(wrong, self.tok.encode_batch_fast([column[int(k)].as_py() or "" for k in wrong], add_special_tokens=False), strict=True):

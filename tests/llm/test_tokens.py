@@ -110,3 +110,20 @@ def test_joined_pieces_equal_single_ones(name):
     texts = [" a", " bé", " 漢字", " x1,y", " word"] * 3
     got = token_files.encode_pieces(tok, lengths, texts, "uint16", group=4)
     assert [np.frombuffer(g, np.uint16).tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_of_equal_hash_keep_their_own_ids():
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    h = token_files.span_hashes(data, np.array([0, 2048]), np.array([2048, 4096]), token_files._CODE)
+    assert h[0] == h[1] and one != two
+    texts = ["x", one, "", two, "a b", f"go {two} on"]
+    tok = token_files._tokenizer(P.path("byte_bpe_50k.json"))
+    want = [[*tok.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    for batches in ([texts], [[t] for t in texts]):
+        coder, got = token_files.BatchEncoder(tok, 0), []
+        for batch in batches:
+            ids, sizes = coder.encode(pa.array(batch))
+            got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == want
