@@ -6,20 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docweave.storage import cut_lineage
+
 
 def row_index(df: DataFrame, *order: str, name: str = "doc_idx") -> DataFrame:
-    """df with consecutive numbers from 0 in the given order.
+    """df with consecutive numbers from 0 in the given order; any other column of df may have any name but this one.
 
-    One range shuffle; the numbers are positions in partitions plus the sizes of
-    the partitions before, so no task sees all rows. Ties are numbered as they fall.
+    One range shuffle into sorted files in the shared folder; a number is the
+    position in its file plus the rows of the files before. Range bounds are
+    sampled and equal rows fall as they fall, so the rows are written and
+    numbered once: whatever reads the result later sees the same numbers.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))  # a row for each partition
-    low = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + low).drop("_part", "_offset", "_id")
+    if name in df.columns:
+        raise ValueError(f"there is a column {name!r} already")
+    carried = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).select(carried), "numbered")
+    # part-<partition>-<job>-c<file of the partition>: numbers, since names of many parts don't sort
+    file = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    number = lambda pattern: F.regexp_extract(file, pattern, 1).cast("long")
+    at = F.struct(number(r"^part-(\d+)").alias("part"), number(r"[-.]c(\d+)\.").alias("file")).alias("at")
+    rows = placed.select("row", at, F.col("_metadata.row_index").alias("k"))
+    sizes = rows.groupBy("at").agg(F.count("*").alias("n"))
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("at", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))  # a row for each file
+    return rows.join(F.broadcast(offsets), "at").select("row.*", (F.col("offset") + F.col("k")).alias(name))
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int | None, rank: str = "rank") -> DataFrame:
