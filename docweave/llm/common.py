@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import os
 import shutil
-import tempfile
 import uuid
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.storage import checkpoint_dir, cut_lineage, drop_written
+
+__all__ = ["BATCH_BYTES", "bounded_batches", "checkpoint_dir", "crc_mod", "cut_lineage", "drop_written", "release_memory", "replace_file", "shared_folder", "table"]
+
 #: An Arrow batch handed to a Python worker holds at most this many bytes of input (one row at least).
 BATCH_BYTES = 8 << 20
 
@@ -37,16 +40,6 @@ def bounded_batches(spark: SparkSession, bytes_per_batch: int = BATCH_BYTES) ->
         spark.conf.set(key, str(bytes_per_batch))
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is set."""
-    named = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = tempfile.mkdtemp(prefix="docweave-shared-")
-        atexit.register(shutil.rmtree, named, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
 def shared_folder(spark: SparkSession, what: str) -> str:
     """A fresh local path below the shared folder, which every executor has mounted at the same place.
 
@@ -63,28 +56,6 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, what: str = "table") -> DataFrame:
-    """Write df to the shared folder once; later reads neither recompute it nor depend on one executor.
-
-    A written table (not an RDD checkpoint), so that later joins see no old
-    partitioning and can split hot keys at run time.
-    """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.__dict__["_written_to"] = path
-    return out
-
-
-def drop_written(df: DataFrame) -> None:
-    """Delete a table of cut_lineage that nothing reads any more."""
-    path = df.__dict__.pop("_written_to", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def release_memory() -> None:
     """Hand freed memory of a worker back to the system at the end of a task: idle workers are kept and count."""
     import ctypes

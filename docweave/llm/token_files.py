@@ -9,7 +9,7 @@ memory map without a copy. Beside it ``*.docs.arrow`` has a row for each
 document: its id, its offset in the shard and its number of tokens.
 
 Null texts count as empty: such a document is its end token alone. Rows with the
-same id are all written, in the order of their texts; null ids come first.
+same id are all written, in the order of a hash of their texts; null ids come first.
 An empty table gives a folder without shards.
 """
 
@@ -46,29 +46,39 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
     return _TOKENIZERS[path]
 
 
+def _joins(piece: str) -> bool:
+    """Whether a piece may stand between others: no match goes on into its first space, and none of it looks past its last character."""
+    return piece[:1] == " " and not (piece[-1].isspace() or piece[-1] in "\u180e\u200b\ufeff")
+
+
 def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 200) -> list[bytes]:
-    """Ids of texts that may be encoded one by one or joined: joined, and cut where their bytes end.
+    """Ids of each text. Texts that start with a space and end with none are joined, and cut where their bytes end; the others are encoded one by one.
 
     lengths: bytes that each id stands for. Where cuts and bytes don't meet (a
     tokenizer that is not byte-level), the group is encoded text by text.
     """
-    out: list[bytes] = []
-    groups = [texts[k : k + group] for k in range(0, len(texts), group)]
-    for some, whole in zip(groups, tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+    out: list[bytes] = [b""] * len(texts)
+    joined, single = [], []
+    for k, text in enumerate(texts):
+        (joined if _joins(text) else single).append(k)
+    groups = [joined[k : k + group] for k in range(0, len(joined), group)]
+    for some, whole in zip(groups, tok.encode_batch_fast(["".join([texts[k] for k in g]) for g in groups], add_special_tokens=False), strict=True):
         ids = np.array(whole.ids, dtype=np.int64)
         reach = np.cumsum(lengths[ids])
-        ends = np.cumsum([len(t.encode()) for t in some])
+        ends = np.cumsum([len(texts[k].encode()) for k in some])
         at = np.searchsorted(reach, ends)
         if len(reach) and at[-1] < len(reach) and np.array_equal(reach[at], ends):
             ids = ids.astype(dtype)
             edge = [0, *(at + 1).tolist()]
-            out += [ids[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            for k, a, b in zip(some, edge[:-1], edge[1:], strict=True):
+                out[k] = ids[a:b].tobytes()
         else:
-            out += [np.array(e.ids, dtype=dtype).tobytes() for e in tok.encode_batch_fast(some, add_special_tokens=False)]
+            single += some
+    for k, e in zip(single, tok.encode_batch_fast([texts[k] for k in single], add_special_tokens=False), strict=True):
+        out[k] = np.array(e.ids, dtype=dtype).tobytes()
     return out
 
 
@@ -105,14 +115,18 @@ _COMPARED = 1 << 20
 class BatchEncoder:
     """Encodes batches of texts; each distinct piece of a batch is looked up, or encoded, once.
 
-    Pieces are found by 64-bit hashes and their bytes are compared. A text with a
-    piece that differs from the one found, or whose ids stand for another number
-    of bytes than it has, is encoded as a whole instead.
+    Pieces are found by 64-bit hashes and their bytes are compared. A text that
+    holds an added token, that has a piece which differs from the one found, or
+    whose ids stand for another number of bytes than it has, is encoded as a whole
+    instead.
     """
 
     def __init__(self, tok, end_id: int, limit: int = MEMO):
         self.tok, self.dtype = tok, "uint16" if tok.get_vocab_size() <= 1 << 16 else "uint32"
         self.bare = _bare(tok)
+        self.added = [t.content.encode() for t in tok.get_added_tokens_decoder().values()]
+        # with a normalizer an added token may match a text that doesn't hold it
+        self.plain = tok.normalizer is None
         self.lengths = np.zeros(tok.get_vocab_size() + 1, np.int64)
         for entry, i in tok.get_vocab().items():  # a byte-level entry has a character for each byte
             self.lengths[i] = len(entry)
@@ -150,6 +164,18 @@ class BatchEncoder:
             i = j
         return np.concatenate(out)
 
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Indices of the texts that hold an added token (of all texts, where a normalizer comes first)."""
+        if not self.plain and self.added:
+            return np.arange(len(offsets) - 1)
+        whole, at = data.tobytes() if self.added else b"", []
+        for token in self.added:
+            k = whole.find(token)
+            while k >= 0:
+                at.append(k)
+                k = whole.find(token, k + 1)
+        return np.searchsorted(offsets, np.array(at, np.int64), "right") - 1
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, an end after each; number of ids of each text)."""
         data, offsets = texts_of(column)
@@ -181,6 +207,7 @@ class BatchEncoder:
         stands = np.concatenate([[0], np.cumsum(self.lengths[ids])])[reach[cuts]]
         wrong = np.diff(stands) - self.lengths[self.end[0]] != np.diff(offsets)
         wrong[np.searchsorted(offsets, starts[differ], "right") - 1] = True
+        wrong[self._with_added(data, offsets)] = True
         wrong = np.flatnonzero(wrong)
         if len(wrong):
             parts = np.split(ids, reach[cuts[1:-1]])
@@ -191,13 +218,12 @@ class BatchEncoder:
 
 
 def _bare(tok):
-    """The tokenizer without what changes no ids here: special tokens, which are ordinary text, and post-processing."""
+    """The tokenizer without added tokens and post-processing: for pieces of texts that hold no added token."""
     from tokenizers import Tokenizer
 
-    if not all(t.special for t in tok.get_added_tokens_decoder().values()):
-        return tok
     out = Tokenizer(tok.model)
-    out.pre_tokenizer = tok.pre_tokenizer
+    if tok.pre_tokenizer is not None:
+        out.pre_tokenizer = tok.pre_tokenizer
     if tok.normalizer is not None:
         out.normalizer = tok.normalizer
     return out
@@ -283,32 +309,31 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_path: str, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BatchEncoder(_tokenizer(tokenizer_path), end_id)
-        name = f"shard-{TaskContext.get().partitionId():06d}"
-        writer, at, ids, starts, sizes = None, 0, [], [], []
+        name = f"shard-{TaskContext.get().partitionId():09d}"
+        index = pa.schema([("id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
+        own = f"{folder}/{name}.docs.{uuid.uuid4().hex}"
+        writer, docs, at, rows_in = None, None, 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            writer = writer or ShardWriter(f"{folder}/{name}.arrow", coder.dtype, seq_len)
+            if writer is None:
+                writer, docs = ShardWriter(f"{folder}/{name}.arrow", coder.dtype, seq_len), pa.ipc.new_file(own, index)
             flat, n = coder.encode(batch.column(1))
-            ids += batch.column(0).to_pylist()
-            starts += (at + np.cumsum(n) - n).tolist()
-            sizes += n.tolist()
+            docs.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(at + np.cumsum(n) - n), pa.array(n)], schema=index))
             at += len(flat)
+            rows_in += batch.num_rows
             writer.add(flat.tobytes())
         if writer is None:
             return
         writer.close()
-        table = pa.table({"id": pa.array(ids, id_type), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(sizes, pa.int64())})
-        own = f"{folder}/{name}.docs.{uuid.uuid4().hex}"
-        with pa.OSFile(own, "wb") as sink, pa.ipc.new_file(sink, table.schema) as out:
-            out.write_table(table, max_chunksize=65536)
+        docs.close()
         os.replace(own, f"{folder}/{name}.docs.arrow")
-        del coder, table
+        del coder
         release_memory()
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()), pa.array([len(ids)], pa.int64())], names=["shard", "n_tokens", "n_docs"])
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()), pa.array([rows_in], pa.int64())], names=["shard", "n_tokens", "n_docs"])
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    written = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text").mapInArrow(run, "shard string, n_tokens bigint, n_docs bigint").collect()
+    # text breaks ties of the range bounds too: rows that share an id, or have none, are dealt out by their texts
+    written = rows.repartitionByRange(_shards(rows), "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text").mapInArrow(run, "shard string, n_tokens bigint, n_docs bigint").collect()
     out, start = [], 0
     for r in sorted(written, key=lambda r: r.shard):
         out.append((r.shard, start, r.n_docs))
@@ -316,6 +341,16 @@ def write_token_files(df: DataFrame, folder: str, tokenizer_path: str, end_id: i
     return out
 
 
+#: Bytes of text that a shard should hold.
+SHARD_BYTES = 256 << 20
+
+
+def _shards(rows: DataFrame) -> int:
+    """Number of shards: at least the session's shuffle partitions, and enough for SHARD_BYTES each."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+
+
 def read_token_files(spark: SparkSession, folder: str, shards: list[tuple[str, int, int]], id_col: str = "doc_id", id_type: str = "bigint") -> DataFrame:
     """(id, start, n_tokens, ids array<int>) of each document, read from the memory-mapped shards, one shard a task."""
     bounded_batches(spark)

@@ -60,7 +60,6 @@ def test_documents_keep_every_row(spark):
 
 def test_token_files_round_trip(spark, tmp_path):
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     folder = str(tmp_path)
     shards = token_files.write_token_files(documents(spark).withColumn("start", F.lit(0)), folder, P.path("byte_bpe_50k.json"), seq_len=64)
     rows = token_files.read_token_files(spark, folder, shards).collect()
@@ -78,10 +77,38 @@ def test_token_files_round_trip(spark, tmp_path):
     assert pa.types.is_fixed_size_list(reader.file.schema.field("ids").type)
 
 
-@settings(max_examples=150, deadline=None)
+UNTOUCHED = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_texts_get_their_ids(name):
+    tok = Tokenizer.from_file(P.path(name))
+    texts = ["plain words", None, ""]
+    for added in tok.get_added_tokens_decoder().values():
+        c = added.content
+        texts += [f"hello {c} world", c, c + c, f"a{c}b plain words", f"{c[:-1]} not whole", f" {c}", f"{c} "]
+    for batches in ([texts], [[t] for t in texts]):
+        coder, got = token_files.BatchEncoder(token_files._tokenizer(P.path(name)), 0), []
+        for batch in batches:
+            ids, sizes = coder.encode(pa.array(batch, pa.string()))
+            got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_pieces_of_white_space_keep_their_own_ids():
+    tok = UNTOUCHED
+    texts = [" \xa0", "foo", "bar", " x\xa0", "y", " \x1f", "z ", " q", "ab", "cd", " \u3000"]
+    for batches in ([texts], [texts[::-1]], [[t] for t in texts]):
+        coder = token_files.BatchEncoder(tok, 0)
+        for batch in batches:
+            ids, sizes = coder.encode(pa.array(batch, pa.string()))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*tok.encode(t, add_special_tokens=False).ids, 0] for t in batch]
+
+
+@settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.text(alphabet="ab \n\u3000\xa0é's.1\x1f", max_size=60)), max_size=6))
 def test_batches_equal_whole_texts(texts):
-    tok = token_files._tokenizer(P.path("byte_bpe_50k.json"))
+    tok = UNTOUCHED
     texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
     ids, sizes = CODER.encode(pa.array(texts, pa.string()))
     want = [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
