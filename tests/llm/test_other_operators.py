@@ -224,7 +224,8 @@ def brute_top(rows, k=20):
 @pytest.mark.parametrize("block", [topk.BLOCK, 16])
 def test_top_k_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK", block)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    monkeypatch.setattr(topk, "RANGE", 3)
     rng = np.random.default_rng(0)
     rows = [(int(i), [float(x) for x in rng.normal(size=8).astype(np.float32)]) for i in range(90)]
     rows += [(i, rows[0][1]) for i in range(100, 140)] + [(200, None), (220, []), (240, [1.0, None] + [0.0] * 6), (260, [float("nan")] * 8), (None, rows[1][1]), (280, [1.0, 2.0]), (281, [0.5, -1.0])]
@@ -233,9 +234,59 @@ def test_top_k_equals_brute_force(spark, monkeypatch, block):
     assert got == brute_top(rows)
 
 
+def block_of(kind, n=6000, dim=24, seed=3):
+    rng = np.random.default_rng(seed)
+    if kind == "one":
+        return np.full((n, dim), 3)
+    x = rng.normal(size=(n, dim)) * 9
+    if kind == "clustered":
+        x += (rng.normal(size=(40, dim)) * 30)[rng.integers(0, 40, n)]
+    if kind == "skewed":
+        x = rng.standard_t(2, size=(n, dim)) * 5
+    return np.floor(x * (1 << 23 if kind == "huge" else 1)).astype(np.int64)
+
+
+@pytest.mark.parametrize("kind", ["plain", "clustered", "skewed", "huge", "one"])
+def test_an_index_gives_the_exact_top(kind):
+    vectors = block_of(kind)
+    index, queries, k = topk.ImpactIndex.build(vectors), block_of(kind, 40, seed=4), 7
+    exact = [[sum(int(a) * int(b) for a, b in zip(q, v, strict=True)) for v in vectors] for q in queries[:3]] if kind == "huge" else (queries @ vectors.T).tolist()
+    queries = queries[: len(exact)]
+    order = np.abs(index.impacts)
+    assert (np.diff(order) <= 0).all() and index.checks[-1] == len(order)  # descending impact
+    if kind == "huge":
+        assert 1 << 55 < max(abs(x) for e in exact for x in e) < 1 << 63
+    for floor in (None, np.array([sorted(e)[-k] for e in exact], float)):
+        row, col, score = index.search(queries, np.array([5, *[-1] * (len(queries) - 1)]), k, floor)
+        for j, e in enumerate(exact):
+            best = sorted((-s, c) for c, s in enumerate(e) if j or c != 5)[:k]
+            assert [(c, s) for c, s in zip(col[row == j].tolist(), score[row == j].tolist(), strict=True)][: len(best)] == [(c, -s) for s, c in best]
+
+
+def test_processing_stops_on_proof_before_all_postings():
+    vectors = block_of("clustered")
+    index = topk.ImpactIndex.build(vectors)
+    index.search(vectors[:64], np.arange(64), 10)
+    assert 0 < index.read < 0.75 * index.postings
+    # equal vectors: nothing can be ruled out, so nothing stops
+    same = topk.ImpactIndex.build(block_of("one"))
+    same.search(block_of("one", 4), np.full(4, -1), 10)
+    assert same.read == same.postings
+    # the proof holds at a check point: no vector outside its bounds
+    for check, left in zip(index.checks, index.left, strict=True):
+        acc = np.zeros(len(vectors))
+        for s in range(check):
+            ids = index.ids[index.ends[s - 1] if s else 0 : index.ends[s]]
+            acc[ids] += index.impacts[s] * vectors[0, index.dims[s]]
+        assert (np.abs(vectors @ vectors[0] - acc) <= left * np.linalg.norm(vectors[0]) + 1e-6).all()
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(df, F.col("vec_id") % 20 == 0).count() == 0
+    some = spark.createDataFrame([(1, [1.0]), (2, [2.0])], df.schema)
+    assert topk.exact_top_k(some, F.col("vec_id") % 20 == 0).count() == 0 and topk.exact_top_k(some, F.lit(True), k=0).count() == 0
+    assert sorted(map(tuple, topk.exact_top_k(some, F.lit(True)).collect())) == [(1, 1, 2, 64 * 128), (2, 1, 1, 64 * 128)]
 
 
 # mixing
