@@ -49,35 +49,30 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def _joins(piece: str) -> bool:
-    """Whether a piece may stand between others: no match goes on into its first space, and none of it looks past its last character."""
-    return piece[:1] == " " and not (piece[-1].isspace() or piece[-1] in "\u180e\u200b\ufeff")
+def encode_pieces(tok, lengths, parts: list[bytes], joins: list[bool], dtype: str, group: int = 200) -> list[bytes]:
+    """Ids of each part. Parts that may stand between others are joined, and cut where their bytes end; the others are encoded one by one.
 
-
-def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 200) -> list[bytes]:
-    """Ids of each text. Texts that start with a space and end with none are joined, and cut where their bytes end; the others are encoded one by one.
-
-    lengths: bytes that each id stands for. Where cuts and bytes don't meet (a
-    tokenizer that is not byte-level), the group is encoded text by text.
+    joins: whether a part starts with a space and ends with no white space, so that
+    no match goes on into it and none of it looks past its last character. lengths:
+    bytes that each id stands for. Where cuts and bytes don't meet (a tokenizer that
+    is not byte-level), the group is encoded part by part.
     """
-    out: list[bytes] = [b""] * len(texts)
-    joined, single = [], []
-    for k, text in enumerate(texts):
-        (joined if _joins(text) else single).append(k)
+    out: list[bytes] = [b""] * len(parts)
+    joined = [k for k, j in enumerate(joins) if j]
+    single = [k for k, j in enumerate(joins) if not j]
     groups = [joined[k : k + group] for k in range(0, len(joined), group)]
-    for some, whole in zip(groups, tok.encode_batch_fast(["".join([texts[k] for k in g]) for g in groups], add_special_tokens=False), strict=True):
+    for some, whole in zip(groups, tok.encode_batch_fast([b"".join([parts[k] for k in g]).decode() for g in groups], add_special_tokens=False), strict=True):
         ids = np.array(whole.ids, dtype=np.int64)
         reach = np.cumsum(lengths[ids])
-        ends = np.cumsum([len(texts[k].encode()) for k in some])
+        ends = np.cumsum([len(parts[k]) for k in some])
         at = np.searchsorted(reach, ends)
         if len(reach) and at[-1] < len(reach) and np.array_equal(reach[at], ends):
-            ids = ids.astype(dtype)
-            edge = [0, *(at + 1).tolist()]
+            data, edge = ids.astype(dtype).tobytes(), (np.concatenate([[0], at + 1]) * np.dtype(dtype).itemsize).tolist()
             for k, a, b in zip(some, edge[:-1], edge[1:], strict=True):
-                out[k] = ids[a:b].tobytes()
+                out[k] = data[a:b]
         else:
             single += some
-    for k, e in zip(single, tok.encode_batch_fast([texts[k] for k in single], add_special_tokens=False), strict=True):
+    for k, e in zip(single, tok.encode_batch_fast([parts[k].decode() for k in single], add_special_tokens=False), strict=True):
         out[k] = np.array(e.ids, dtype=dtype).tobytes()
     return out
 
@@ -85,6 +80,20 @@ def encode_pieces(tok, lengths, texts: list[str], dtype: str, group: int = 200)
 _CODE = random_codes(256, 11)
 
 
+def _solid(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character whose last byte is at ``at`` is surely no white space and no control character."""
+    last = data[at]
+    good = (last > 32) & (last != 127)
+    wide = np.flatnonzero(last >= 128)
+    if len(wide):  # the white space of Unicode and what some count with it, by their bytes
+        p, k = last[wide], at[wide]
+        two, three = data[np.maximum(k - 1, 0)], data[np.maximum(k - 2, 0)]
+        space = (two == 0xC2) & ((p == 0x85) | (p == 0xA0)) | (three == 0xE1) & ((two == 0x9A) & (p == 0x80) | (two == 0xA0) & (p == 0x8E)) | (three == 0xE3) & (two == 0x80) & (p == 0x80)
+        space |= (three == 0xE2) & ((two == 0x80) & ((p <= 0x8B) | (p == 0xA8) | (p == 0xA9) | (p == 0xAF)) | (two == 0x81) & (p == 0x9F)) | (three == 0xEF) & (two == 0xBB) & (p == 0xBF)
+        good[wide] = ~space
+    return good
+
+
 def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where pieces start: at texts, and at spaces after a character that isn't white space.
 
@@ -93,17 +102,8 @@ def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """
     at = np.flatnonzero(data == 32)
     at = at[at > 0]
-    last = data[at - 1]
-    good = (last > 32) & (last != 127)
-    wide = np.flatnonzero(last >= 128)
-    if len(wide):  # the white space of Unicode, by its bytes
-        p, k = last[wide], at[wide]
-        two, three = data[np.maximum(k - 2, 0)], data[np.maximum(k - 3, 0)]
-        space = (two == 0xC2) & ((p == 0x85) | (p == 0xA0)) | (three == 0xE1) & (two == 0x9A) & (p == 0x80) | (three == 0xE3) & (two == 0x80) & (p == 0x80)
-        space |= (three == 0xE2) & ((two == 0x80) & ((p <= 0x8A) | (p == 0xA8) | (p == 0xA9) | (p == 0xAF)) | (two == 0x81) & (p == 0x9F))
-        good[wide] = ~space
     mark = np.zeros(len(data), bool)
-    mark[at[good]] = True
+    mark[at[_solid(data, at - 1)]] = True
     mark[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(mark)
 
@@ -133,17 +133,21 @@ class BatchEncoder:
         self.end = np.array([end_id], self.dtype)
         self.limit, self.known = limit, {}
 
-    def _values(self, data: np.ndarray, hashes: list[int], starts: list[int], ends: list[int]) -> list[tuple[bytes, bytes]]:
+    def _values(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[bytes, bytes]]:
         """(piece, its ids) by hash; the piece may be another one of the same hash, met before."""
-        found = [*map(self.known.get, hashes)]
+        keys = hashes.tolist()
+        found = [*map(self.known.get, keys)]
         new = [k for k, v in enumerate(found) if v is None]
         if new:
-            parts = [data[starts[k] : ends[k]].tobytes() for k in new]
-            for k, *v in zip(new, parts, encode_pieces(self.bare, self.lengths, [p.decode() for p in parts], self.dtype), strict=True):
+            a, b = starts[new], ends[new]
+            joins = ((data[a] == 32) & _solid(data, b - 1)).tolist()
+            whole = memoryview(data)
+            parts = [bytes(whole[i:j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+            for k, *v in zip(new, parts, encode_pieces(self.bare, self.lengths, parts, joins, self.dtype), strict=True):
                 found[k] = tuple(v)
             if len(self.known) + len(new) > self.limit:
                 self.known = dict(islice(self.known.items(), self.limit // 2))  # what is frequent was met early
-            self.known.update((hashes[k], found[k]) for k in new)
+            self.known.update((keys[k], found[k]) for k in new)
         return found
 
     @staticmethod
@@ -187,7 +191,7 @@ class BatchEncoder:
         which = np.searchsorted(distinct, h)
         example = np.zeros(len(distinct), np.int64)
         example[which] = np.arange(len(h))
-        found = self._values(data, distinct.tolist(), starts[example].tolist(), ends[example].tolist())
+        found = self._values(data, distinct, starts[example], ends[example])
         differ = self._differ(data, starts, ends, which, [p for p, _ in found])
         values = [v for _, v in found]
         values.append(self.end.tobytes())

@@ -135,7 +135,7 @@ def test_joined_pieces_equal_single_ones(name):
     for entry, i in tok.get_vocab().items():
         lengths[i] = len(entry)
     texts = [" a", " bé", " 漢字", " x1,y", " word"] * 3
-    got = token_files.encode_pieces(tok, lengths, texts, "uint16", group=4)
+    got = token_files.encode_pieces(tok, lengths, [t.encode() for t in texts], [True] * len(texts), "uint16", group=4)
     assert [np.frombuffer(g, np.uint16).tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
