@@ -144,7 +144,7 @@ def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int
     for kind, a, b, good in _matches(text):
         if good:
             base.append((kind, a, b))
-        elif kind and b - a <= 2 * _MOST_DIGITS and 7 <= len(_digits(text[a:b])) <= _MOST_DIGITS:
+        elif kind and b - a <= 2 * _MOST_DIGITS and (4 if kind == 1 else 7) <= len(_digits(text[a:b])) <= _MOST_DIGITS:
             other.append((kind, a, b))
     taken = sorted((a, b) for _, a, b in base)
     starts, reach = [a for a, _ in taken], 0
