@@ -16,9 +16,9 @@ gave. A query's processing stops only on that proof: when scoring its possible
 members exactly takes fewer steps than the postings still to come, which are
 then never read. Possible members are scored exactly in integers.
 
-The queries of a block are its own rows, in a file beside it. A task takes the
-queries of one block through a range of blocks, GROUP queries at a time, and
-gives k rows for each. Nothing is copied for each pair of blocks, and a task
+The queries of a block are its own rows, in a file beside it. A unit of work takes
+a share of the queries of one block through a range of blocks, GROUP queries at a
+time, and gives k rows for each. Nothing is copied for each pair of blocks, and a task
 holds one block and one group of accumulators however large the table is. Blocks
 are dealt out by row number, so equal vectors or ids don't meet in one block.
 """
@@ -37,8 +37,8 @@ from pyspark.sql.window import Window
 
 from docweave.llm.common import bounded_batches, cut_lineage, drop_written, release_memory, shared_folder
 
-#: Candidates of a block; queries processed together; blocks that a task takes a group through.
-BLOCK, GROUP, RANGE = 16_384, 128, 16
+#: Candidates of a block; queries processed together; blocks that a unit of work takes its queries through; units that a block's queries are dealt out to.
+BLOCK, GROUP, RANGE, SHARES = 16_384, 128, 16, 4
 #: Sizes of quantised impacts, at most.
 LEVELS = 64
 #: Bounds are checked where the norm left out falls under these shares of the vectors' norm (root mean squares).
@@ -196,12 +196,12 @@ def _store(folder: str, dim: int, block: int, id_: np.ndarray, row: np.ndarray,
     _write(f"{folder}/{dim}-{block}.queries", id=id_[query], row=row[query], vectors=_narrow(vectors[query]))
 
 
-def _search(folder: str, dim: int, group: int, blocks: list[int], k: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(query row, query id, id, row, score) of the queries of block ``group``, the k highest of the blocks each."""
+def _search(folder: str, dim: int, group: int, share: int, blocks: list[int], k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query row, query id, id, row, score) of a share of the queries of block ``group``, the k highest of the blocks each."""
     asked = _read(f"{folder}/{dim}-{group}.queries")
-    queries = asked["vectors"].reshape(-1, dim).astype(np.int64)
-    for a in range(0, len(queries), GROUP):
-        q, q_row, q_id = queries[a : a + GROUP], asked["row"][a : a + GROUP], asked["id"][a : a + GROUP]
+    queries = asked["vectors"].reshape(-1, dim)
+    for a in range(share * GROUP, len(queries), SHARES * GROUP):
+        q, q_row, q_id = queries[a : a + GROUP].astype(np.int64), asked["row"][a : a + GROUP], asked["id"][a : a + GROUP]
         best = [np.zeros(0, np.int64) for _ in range(4)]  # query, id, row, score
         floor = np.full(len(q), -np.inf)
         for b in blocks:
@@ -253,9 +253,9 @@ def exact_top_k(df: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: s
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, group, first, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for dim, group, share, first, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 blocks = [b for b in range(first, end) if (dim, b) not in missing]
-                for found in _search(folder, dim, group, blocks, k) if (dim, group) not in missing else ():
+                for found in _search(folder, dim, group, share, blocks, k) if (dim, group) not in missing else ():
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)
         release_memory()
 
@@ -267,8 +267,9 @@ def exact_top_k(df: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: s
         missing = {(dim, b) for dim, n in sizes.items() for b in range(n)} - made  # no row was dealt to them
         for dim, n in sizes.items():
             ranges = -(-n // RANGE)
-            units = spark.range(n * ranges, numPartitions=max(1, min(n * ranges, 100_000))).select((F.col("id") % n).alias("g"), (F.floor(F.col("id") / n) * RANGE).alias("a"))
-            units = units.select(F.lit(dim).alias("dim"), "g", "a", F.least(F.col("a") + RANGE, F.lit(n)).alias("b"))
+            count, i = n * ranges * SHARES, F.col("id")
+            first = F.floor(i / (n * SHARES)) * RANGE
+            units = spark.range(count, numPartitions=min(count, 100_000)).select(F.lit(dim), F.floor(i / SHARES) % n, i % SHARES, first, F.least(first + RANGE, F.lit(n)))
             part = units.mapInArrow(search, shape)
             found = part if found is None else found.unionByName(part)
     drop_written(rows)
