@@ -8,12 +8,13 @@ import shutil
 import uuid
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.storage import checkpoint_dir, cut_lineage, drop_written
 
-__all__ = ["BATCH_BYTES", "bounded_batches", "checkpoint_dir", "crc_mod", "cut_lineage", "drop_written", "release_memory", "replace_file", "shared_folder", "table"]
+__all__ = ["BATCH_BYTES", "bounded_batches", "by_position", "checkpoint_dir", "crc_mod", "cut_lineage", "drop_written", "release_memory", "replace_file", "row_hash", "shared_folder", "table"]
 
 #: An Arrow batch handed to a Python worker holds at most this many bytes of input (one row at least).
 BATCH_BYTES = 8 << 20
@@ -75,6 +76,24 @@ def replace_file(path: str, data: bytes) -> None:
     os.replace(own, path)
 
 
+def by_position(df: DataFrame) -> DataFrame:
+    """df with its columns named ``_0``, ``_1`` and on: whatever a caller calls them, and however often, names can't clash."""
+    return df.toDF(*[f"_{k}" for k in range(len(df.columns))])
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of df, of any type; names must be unique."""
+    return F.xxhash64(*[F.to_json(F.struct(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def crc_mod(column, modulus: int):
     """crc32 of an id written as text, modulo modulus (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

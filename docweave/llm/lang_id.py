@@ -8,12 +8,15 @@ kernel ridge regression is solved. Scoring a batch is a product of its presence
 matrix with the landmarks' presence matrix and the regression weights; these two
 don't depend on the batch and are multiplied once.
 
-Training uses a bounded sample: about SAMPLE rows for each language, but no more
-than SAMPLE_ALL in all, drawn by a hash of id and row, and LANDMARKS of them.
-Whole texts are used, in training and in prediction.
+Training uses a bounded sample: about SAMPLE rows for each language, but about
+SAMPLE_ALL in all at most, drawn by a hash of id and text (so the same rows on
+every run, however they are laid out), and LANDMARKS of them. Rows with the same
+id, text and language count once. Whole texts are used, in training and in
+prediction.
 
 A text that is null or has no letter is ``und`` with score 1. Without training
-rows everything is ``und`` (score 0 where there are letters).
+rows everything is ``und`` (score 0 where there are letters). Of languages with
+the same score the first by name is predicted.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, release_memory
+from docweave.llm.common import bounded_batches, by_position, release_memory
 from docweave.llm.kneser_ney import texts_of
 
 DIM = 1 << 14
@@ -98,14 +101,13 @@ def fit(bits: np.ndarray, labels: list[str], landmarks: int = LANDMARKS) -> tupl
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Fit on rows of df whose language isn't null."""
     bounded_batches(df.sparkSession, 2 << 20)
-    rows = df.filter(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, F.monotonically_increasing_id()).alias("h"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
+    rows = df.filter(lang.isNotNull()).select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("h"))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not sizes:
         return fit(np.zeros((0, DIM // 8), np.uint8), [])
-    most = min(SAMPLE, max(1, SAMPLE_ALL // len(sizes)))
-    part = F.lit(0.0)
-    for name, n in sizes.items():
-        part = F.when(F.col("lang") == name, most / n).otherwise(part)
+    most = min(SAMPLE, SAMPLE_ALL / len(sizes))
+    shares = df.sparkSession.createDataFrame([(name, most / n) for name, n in sizes.items()], "lang string, share double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,18 +117,24 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 bits = np.packbits(presence(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(1)[a:b], batch.column(2)[a:b], pa.array([r.tobytes() for r in bits], pa.binary())], names=["lang", "h", "bits"])
 
-    sample = rows.filter(F.pmod("h", F.lit(1 << 30)) < part * (1 << 30)).mapInArrow(run, "lang string, h bigint, bits binary").collect()
+    drawn = rows.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    # copies are one row before anything is computed or collected, however many there are
+    sample = drawn.groupBy("lang", "h").agg(F.first("text").alias("text")).select("text", "lang", "h").mapInArrow(run, "lang string, h bigint, bits binary").collect()
     sample.sort(key=lambda r: (r.h, r.lang))
     return fit(np.array([np.frombuffer(r.bits, np.uint8) for r in sample], np.uint8).reshape(-1, DIM // 8), [r.lang for r in sample])
 
 
-def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, other columns of keep, lang_pred, score): score is a soft maximum over the languages, 0 to 1. A row in, a row out."""
+def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """(id, lang_pred, score), or with whole_rows (row, lang_pred, score), where row is a struct of all columns, ``_0`` and on by position.
+
+    score is a soft maximum over the languages, 0 to 1. A row in, a row out.
+    """
     bounded_batches(df.sparkSession)
     names, weight = model
     sent = df.sparkSession.sparkContext.broadcast(weight)  # DIM x languages: a fixed size
-    rest = [c for c in keep if c not in (id_col, text_col)]
-    cols = [F.col(id_col), F.col(text_col), *map(F.col, rest)]
+    rows = by_position(df)
+    text = F.col(f"_{df.columns.index(text_col)}").alias("text")
+    carried = F.struct("*").alias("row") if whole_rows else F.col(f"_{df.columns.index(id_col)}").alias(id_col)
     names_ = np.array([*names, "und"], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,10 +154,9 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
             und_ = und | (not names)
             best[und_] = len(names)
             score[und] = 1.0
-            yield pa.RecordBatch.from_arrays([batch.column(0), *([batch.column(1)] if text_col in keep else []), *batch.columns[2:], pa.array(names_[best], pa.string()), pa.array(np.round(score.astype(np.float64), 6))], names=[id_col, *([text_col] if text_col in keep else []), *rest, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names_[best], pa.string()), pa.array(np.round(score.astype(np.float64), 6))], names=[first, "lang_pred", "score"])
         release_memory()
 
-    types = dict(df.dtypes)
-    out = [id_col, *([text_col] if text_col in keep else []), *rest]
-    schema = ", ".join(f"`{c}` {types[c]}" for c in out)
-    return df.select(*cols).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    wanted = rows.select(carried, text)
+    first = wanted.columns[0]
+    return wanted.mapInArrow(run, f"`{first}` {wanted.schema[0].dataType.simpleString()}, lang_pred string, score double")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docweave.llm.common import bounded_batches, cut_lineage
+from docweave.llm.common import bounded_batches, by_position, cut_lineage, row_hash
 
 #: Slots of a period; rows of a block; rows that a hash bucket should hold.
 SLOTS, BLOCK_ROWS, BUCKET_ROWS = 4096, 32, 50_000
@@ -126,8 +126,19 @@ def plan(spark: SparkSession, names: list[str], weights: list[int], blocks: list
     return cut_lineage(periods.mapInArrow(again, "_s string, block long, release long, deadline long, slot long"), "schedule")
 
 
-def _key(source):
-    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+#: Columns that the schedule adds to a row.
+ADDED = ("block", "release", "deadline", "slot", "place")
+
+
+def added_names(columns: list[str]) -> dict[str, str]:
+    """The names under which ADDED come: an underscore follows for as long as a column of the table, in any case of letters, has the name."""
+    taken, out = {c.lower() for c in columns}, {}
+    for name in ADDED:
+        new = name
+        while new in taken:
+            new += "_"
+        out[name] = new
+    return out
 
 
 def mix(df: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.7, block_rows: int = BLOCK_ROWS, slots: int = SLOTS, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -135,12 +146,17 @@ def mix(df: DataFrame, weights: dict[str | None, float] | None = None, temper: f
 
     weights: target weight by source; else the sources' sizes to the power
     ``temper``. Collected is one row for each source. Within a source rows come
-    in the order of a hash of their id, so mixing also shuffles. df must not have
-    columns of the five names.
+    in the order of a hash of the whole row, so mixing also shuffles, and rows that
+    share an id, or have none, are dealt out too; only rows that are the same in all
+    columns share a bucket. Other columns of df may have any type and any name,
+    those of the five new columns included (``added_names``). An empty table stays
+    empty; all rows stay.
     """
     spark = df.sparkSession
-    source = _key(F.col(source_col))
-    sizes = {r.s: r.n for r in df.groupBy(source.alias("s")).agg(F.count("*").alias("n")).collect()}
+    rows = by_position(df)
+    source = F.col(f"_{df.columns.index(source_col)}").cast("string")
+    rows = rows.select(F.struct("*").alias("row"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("s"), row_hash(rows).alias("h"))
+    sizes = {r.s: r.n for r in rows.groupBy("s").agg(F.count("*").alias("n")).collect()}
     if weights is None:
         wanted = {s: n**temper for s, n in sizes.items()}
     else:
@@ -153,21 +169,28 @@ def mix(df: DataFrame, weights: dict[str | None, float] | None = None, temper: f
     names = sorted(sizes)
     exact = whole([wanted[s] or least / slots for s in names])
     buckets = max(64, -(-sum(sizes.values()) // BUCKET_ROWS))
-    h = F.xxhash64(id_col)
-    rows = df.withColumn("_s", source).withColumn("_h", h).withColumn("_b", F.pmod("_h", F.lit(buckets)))
-    counts = rows.groupBy("_s", "_b").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_s", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_s", "_b").orderBy("_h", id_col)
-    ranked = rows.withColumn("_r", F.row_number().over(within)).join(offsets, ["_s", "_b"])
-    rank = F.col("_offset") + F.col("_r") - 1
-    ranked = ranked.withColumn("place", (rank % block_rows).cast("int")).withColumn("block", F.floor(rank / block_rows))
+    rows = rows.withColumn("b", F.pmod("h", F.lit(buckets)))
+    counts = rows.groupBy("s", "b").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("s", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("s", "b").orderBy("h")
+    ranked = rows.withColumn("r", F.row_number().over(within)).join(offsets, ["s", "b"])
+    rank = F.col("offset") + F.col("r") - 1
+    ranked = ranked.select("row", F.col("s").alias("_s"), (rank % block_rows).cast("int").alias("place"), F.floor(rank / block_rows).alias("block"))
     blocks = [-(-sizes[s] // block_rows) for s in names]
     out = ranked.join(plan(spark, names, exact, blocks, max(slots, 2 * len(names))), ["_s", "block"])
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], "block", "release", "deadline", "slot", "place")
+    return out.select("row.*", *ADDED).toDF(*df.columns, *added_names(df.columns).values())
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """Rows laid out in the mixed order: partitions are ranges of slots, sorted, so files written from it have the order."""
+    """Rows of ``mix`` laid out in the mixed order: partitions are ranges of slots, sorted, so files written from it have the order."""
     parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return mixed.repartitionByRange(parts, "slot", "place").sortWithinPartitions("slot", "place")
+    rows, n = by_position(mixed), len(mixed.columns)  # the last two columns are slot and place
+    order = [f"_{n - 2}", f"_{n - 1}"]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).toDF(*mixed.columns)
+
+
+def mixed_rows(df: DataFrame, **options) -> DataFrame:
+    """The rows of df, with its columns, laid out in the mixed order."""
+    out = by_position(in_order(mix(df, **options)))
+    return out.select(*out.columns[: len(df.columns)]).toDF(*df.columns)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, cut_lineage, release_memory
+from docweave.llm.common import bounded_batches, by_position, cut_lineage, release_memory
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -366,15 +366,15 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """df with personal data in text_col replaced; trained on df. All columns stay, null texts stay null; no shuffle."""
     bounded_batches(df.sparkSession)
     good = frozenset(decisions(df, id_col, text_col))
-    at, names, schema = df.columns.index(text_col), df.columns, ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    rows, at = by_position(df), df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([None if v is None else redacted(v, good) for v in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], names=names)
+            yield pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], names=batch.schema.names)
         release_memory()
 
-    return df.mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*df.columns)
 
 
 def joined(spans):

@@ -246,13 +246,64 @@ def test_language_of_odd_rows(spark):
     model = lang_id.train(documents(spark))
     rows = {r.doc_id: r for r in lang_id.predict(documents(spark), model).collect()}
     assert {i for i, r in rows.items() if r.lang_pred == "und"} == {2, 3, 4, 9} and rows[6].lang_pred in ("en", "fr", "de")
-    kept = lang_id.predict(documents(spark), model, keep=("doc_id", "text", "lang", "source", "n_chars"))
-    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "score"] and kept.count() == len(DOCS)
+    kept = lang_id.predict(documents(spark), model, whole_rows=True).select("row.*").toDF(*documents(spark).columns)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == len(DOCS)
     none = lang_id.train(documents(spark, []))
     assert {r.lang_pred for r in lang_id.predict(documents(spark), none).collect()} == {"und"}
     assert lang_id.predict(documents(spark, []), model).count() == 0
 
 
+def plain_ridge(train, test, landmarks):
+    """Scores of one-versus-rest ridge regression on Nystroem features, from sets of n-gram buckets and with no folded weights."""
+    def grams(t):
+        b = bytes(c + 32 if 65 <= c <= 90 else c for c in t.encode())
+        out = set()
+        for p in range(1, lang_id.LENGTHS + 1):
+            for k in range(len(b) - p + 1):
+                code = int.from_bytes(b[k : k + p], "big") + (p << 24)
+                out.add((code * 2654435761 % 2**32) >> 18)
+        return out
+
+    sets = [grams(t) for t, _ in train]
+    kernel = lambda x, y: len(x & y) / max(1, len(x)) ** 0.5 / max(1, len(y)) ** 0.5
+    marks = sets[:: max(1, len(sets) // landmarks)][:landmarks]
+    inner = np.array([[kernel(x, y) for y in marks] for x in marks])
+    values, vectors = np.linalg.eigh(inner)
+    root = vectors / np.sqrt(values)  # all of the spectrum
+    phi = np.array([[kernel(x, y) for y in marks] for x in sets]) @ root
+    names = sorted({lang for _, lang in train})
+    y = np.array([[1.0 if lang == n else -1.0 for n in names] for _, lang in train])
+    weight = np.linalg.solve(phi.T @ phi + lang_id.RIDGE * len(train) * np.eye(phi.shape[1]), phi.T @ y)
+    return names, np.array([[kernel(grams(t), m) for m in marks] for t in test]) @ root @ weight
+
+
+def test_scores_equal_plain_kernel_ridge_regression():
+    rng = random.Random(5)
+    letters = {"aa": "aeioubcd", "bb": "xyzwqkvj", "cc": "mnpréstlg"}
+    text = lambda lang: " ".join("".join(rng.choice(letters[lang] + "ou") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(1, 30)))
+    train = [(text(lang), lang) for lang in sorted(letters) * 30]
+    test = [text(lang).title() for lang in sorted(letters) * 20] + ["", "a"]
+
+    def rows(texts):
+        data = "".join(texts).encode()
+        return lang_id.presence(np.frombuffer(data, np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)]))
+
+    names, weight = lang_id.fit(np.packbits(rows([t for t, _ in train]), axis=1), [lang for _, lang in train], landmarks=20)
+    x = rows(test)
+    got = (x.astype(np.float32) @ weight) / np.sqrt(np.maximum(1, x.sum(1)))[:, None]
+    want_names, want = plain_ridge(train, test, 20)
+    assert names == want_names and got == pytest.approx(want, abs=1e-4)
+    assert (got.argmax(1) == want.argmax(1))[:-2].all()
+
+
+def test_languages_of_any_number_and_rows_in_any_layout(spark):
+    df = synthetic(spark)
+    one, other = lang_id.train(df.repartition(1)), lang_id.train(df.repartition(7, "text").union(df))  # copies count once
+    assert one[0] == other[0] and np.allclose(one[1], other[1])
+    model = (["aa", "bb"], np.zeros((lang_id.DIM, 2), np.float32))  # all scores tie
+    assert {r.lang_pred for r in lang_id.predict(df, model).collect()} == {"aa"}
+
+
 def test_presence_equals_sets():
     data = "abcab é".encode()
     x = lang_id.presence(np.frombuffer(data + b"zz", np.uint8), np.array([0, len(data), len(data) + 2, len(data) + 2]))
@@ -380,6 +431,21 @@ def test_top_k_of_nothing(spark):
 # mixing
 
 
+def test_mixing_takes_columns_of_any_name_and_type(spark):
+    df = documents(spark).selectExpr("*", "1 as slot", "2 as block", "'x' as place", "3 as _s", "4 as `a.b`", "map('k', doc_id) as m", "5 as s", "6 as row", "7 as Release")
+    out = mixing.mix(df, block_rows=2)
+    assert out.columns == [*df.columns, "block_", "release_", "deadline", "slot_", "place_"] and out.count() == len(DOCS)
+    assert len({(r.slot_, r.place_) for r in out.select("slot_", "place_").collect()}) == len(DOCS)
+    rows = mixing.mixed_rows(df)
+    assert rows.schema == df.schema and rows.count() == len(DOCS)
+
+
+def test_rows_of_one_id_or_none_are_dealt_out(spark):
+    rows = [(None if i % 2 else 7, f"text {i}", None, "s", None) for i in range(400)]
+    out = mixing.mix(documents(spark, rows), block_rows=4).collect()
+    assert len(out) == 400 and sorted({r.block for r in out}) == list(range(100)) and len({r.text for r in out}) == 400
+
+
 def test_lag_stays_under_one_block():
     share = mixing.shares({"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.05, "e": 1e-9}, 512)
     total = sum(share.values())

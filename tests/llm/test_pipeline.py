@@ -39,6 +39,76 @@ def test_dedup_keeps_unlike_texts_of_one_id(spark):
     assert got == [(1, text["a"]), (1, text["b"]), (3, text["c"]), (4, text["d"])]
 
 
+def test_stages_take_columns_of_any_name_and_type(spark):
+    extra = ["block", "slot", "score", "lang_pred", "key", "row", "_file", "id", "digest", "component", "h", "_0", "a.b"]
+    docs = documents(spark).selectExpr("*", *[f"'{c}' as `{c}`" for c in extra], "map('k', doc_id) as m", "array(map('x', 1)) as n")
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.schema.names == docs.schema.names, name
+        docs = cut_lineage(out, name)
+        assert docs.count() >= 5 and [tuple(r) for r in docs.select(*[f"`{c}`" for c in extra]).distinct().collect()] == [tuple(extra)]
+    out = cp.tokenize(spark, docs, "").collect()
+    assert len(out) == docs.count() and all(r.mix_position is not None for r in out)
+
+
+def brute_force(texts):
+    """Component of each text: pairs whose five-word shingle sets have a similarity of at least 0.8, joined."""
+    def shingles(t):
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t).split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if both >= 0.8 * union and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [a if x == b else x for x in label]
+    return label
+
+
+def test_the_pipeline_equals_a_brute_force_version(spark, tmp_path):
+    """On documents whose languages are plain to see: which rows stay, how they read, and their ids."""
+    import base64
+    import hashlib
+    import re
+
+    import public_tokenizers as P
+    import tiktoken
+
+    rng = random.Random(8)
+    words = {"en": "the and of to with from this that were which house water".split(), "de": "der und die das nicht mit von auch wurde welche haus wasser".split()}
+    rows, i = [], 0
+    for k in range(30):
+        lang = "en" if k % 2 else "de"
+        w = rng.choices(words[lang], k=rng.randint(30, 60)) + [f"{lang}{k}x{j}" for j in range(40)]
+        rng.shuffle(w)
+        base = " ".join(w)
+        for copy in range(rng.choice([1, 1, 2, 3])):
+            v = base.split()
+            for _ in range(copy):
+                v[rng.randrange(len(v))] = f"new{i}"
+            rows.append((i, " ".join(v) + (f" mail a.b{k}@example.com, 10.0.0.{k}" if k % 5 == 0 else ""), lang, f"s{k % 3}", None))
+            i += 1
+    rows += [(900, "123 456", None, "s0", None), (901, None, None, "s1", None), (902, "", "en", "s1", None)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in cp.run(spark, str(tmp_path)).collect()}
+    letters = [r for r in rows if re.search(r"[^\W\d_]", r[1] or "")]
+    label = brute_force([r[1] for r in letters])
+    first = {}
+    for r, x in zip(letters, label, strict=True):
+        first.setdefault(x, r)
+    assert 1 < len(first) < len(letters) and set(got) == {r[0] for r in first.values()}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in first.values():
+        text = re.sub(r"10\.0\.0\.\d+", "[IP]", re.sub(r"\S+@[a-z.]+", "[EMAIL]", r[1]))
+        ids = coder.encode_ordinary(text)
+        assert (got[r[0]].n_tokens, got[r[0]].ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert got[r[0]].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert sorted(r.mix_position for r in got.values()) == list(range(len(got)))
+
+
 def test_empty_documents_pass_through(spark):
     docs = documents(spark, [])
     for _, stage in cp.STAGES:
