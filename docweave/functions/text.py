@@ -182,8 +182,8 @@ TERM = r"([\p{L}\p{N}]+(?:[-./][\p{L}\p{N}]+)*)"
 def search_tokens(c: Column | str) -> Column:
     """Tokens for retrieval: words with inner ``-./``; all-ideograph words also as pairs and triples, compounds also as parts.
 
-    Lower-casing stands for case folding, and compatibility forms aren't
-    normalised (``functions.udf.search_tokens_exact`` does both).
+    Lower-casing stands for case folding, and compatibility forms aren't normalised:
+    for plain texts (``functions.udf.search_tokens`` sees to the others).
     """
     base = F.regexp_extract_all(F.lower(text_of(c)), F.lit(TERM), F.lit(1))
 

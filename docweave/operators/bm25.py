@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions import text
+from docweave.functions import udf
 from docweave.operators.common import row_index, top_per_group
 from docweave.operators.filters import compile_where
+from docweave.storage import cut_lineage, drop_written
 
 K1, B = 1.5, 0.75
 
 
+PARTS = ("postings", "terms", "stats", "store")
+
+
 class Bm25Index:
     """postings(term, doc_idx, tf, dl), terms(term, df), stats (one row: n, avgdl, tokens, vocabulary) and the chunk store by doc_idx."""
 
@@ -21,30 +26,55 @@ class Bm25Index:
         self.postings, self.terms, self.stats, self.store, self.k1, self.b = postings, terms, stats, store, k1, b
 
     def write(self, path: str, mode: str = "errorifexists") -> None:
-        for name in ("postings", "terms", "stats", "store"):
+        """All parts as zstd Parquet; the store is sorted by doc_idx, so a look-up of few numbers reads few row groups. A mark is written last."""
+        for name in PARTS:
             getattr(self, name).write.mode(mode).option("compression", "zstd").parquet(f"{path}/{name}")
+        spark = self.stats.sparkSession
+        spark.createDataFrame([(self.k1, self.b)], "k1 double, b double").coalesce(1).write.mode(mode).json(f"{path}/complete")
 
     @classmethod
-    def read(cls, spark, path: str, k1: float = K1, b: float = B) -> Bm25Index:
-        return cls(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "terms", "stats", "store")), k1=k1, b=b)
-
-
-def build(chunks: DataFrame, order: list[str], text_col: str = "text", k1: float = K1, b: float = B, tokenize=text.search_tokens) -> Bm25Index:
-    """Index chunks; documents are numbered in the given order. Term counts are combined in each task before the shuffle."""
+    def read(cls, spark, path: str, k1: float | None = None, b: float | None = None) -> Bm25Index:
+        """The index of ``write``; an incomplete one is an error. k1 and b are the written ones unless given."""
+        try:
+            made = spark.read.schema("k1 double, b double").json(f"{path}/complete").first()
+            parts = [spark.read.parquet(f"{path}/{n}") for n in PARTS]
+        except AnalysisException as e:
+            raise FileNotFoundError(f"{path} holds no complete index: {e.getErrorClass()}") from e
+        return cls(*parts, k1=made.k1 if k1 is None else k1, b=made.b if b is None else b)
+
+    def documents(self, numbers: list[int]) -> DataFrame:
+        """Rows of the store by number, as a predicate that reaches the scan; unknown numbers give none."""
+        return self.store.filter(F.col("doc_idx").isin([int(n) for n in numbers]))
+
+    def drop(self) -> None:
+        """Delete what ``build`` wrote."""
+        drop_written(self.postings)
+
+
+def build(chunks: DataFrame, order: list[str], text_col: str = "text", k1: float = K1, b: float = B, tokenize=udf.search_tokens) -> Bm25Index:
+    """Index chunks; documents are numbered in the given order.
+
+    Texts are sorted, numbered and cut into tokens once: the store and the postings
+    are written to the shared folder, and the rest is counted from the postings.
+    Term counts are combined in each task before the shuffle.
+    """
     store = row_index(chunks, *order)
-    tokens = store.select("doc_idx", tokenize(F.col(text_col)).alias("t")).withColumn("dl", F.size("t"))
-    postings = tokens.select("doc_idx", "dl", F.explode("t").alias("term")).groupBy("doc_idx", "dl", "term").agg(F.count("*").alias("tf")).select("term", "doc_idx", "tf", "dl")
+    tokens = store.select("doc_idx", tokenize(F.col(text_col)).alias("t"))
+    postings = tokens.select("doc_idx", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("doc_idx", "dl", "term").agg(F.count("*").alias("tf"))
+    postings = cut_lineage(postings.select("term", "doc_idx", "tf", "dl"), "postings")
     terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-    sizes = tokens.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("tokens"))
-    stats = sizes.crossJoin(terms.agg(F.count("*").alias("vocabulary"))).select("n", F.when(F.col("n") > 0, F.col("tokens") / F.col("n")).otherwise(0.0).alias("avgdl"), "tokens", "vocabulary")
-    return Bm25Index(postings, terms, stats, store, k1, b)
+    n = store.agg(F.count("*").alias("n"))  # chunks without tokens count too
+    sizes = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("tokens"))
+    words = terms.agg(F.count("*").alias("vocabulary"))
+    one = n.crossJoin(sizes).crossJoin(words)  # one row each
+    return Bm25Index(postings, terms, one.select("n", F.when(F.col("n") > 0, F.col("tokens") / F.col("n")).otherwise(0.0).alias("avgdl"), "tokens", "vocabulary"), store, k1, b)
 
 
 def _idf(n: Column, df: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
-def scores(index: Bm25Index, queries: DataFrame, query_id: str = "query_id", query: str = "query", tokenize=text.search_tokens) -> DataFrame:
+def scores(index: Bm25Index, queries: DataFrame, query_id: str = "query_id", query: str = "query", tokenize=udf.search_tokens) -> DataFrame:
     """(query_id, doc_idx, score): summed contributions of each query's terms.
 
     Terms of the queries meet the postings in an equi-join (Spark broadcasts them
@@ -58,11 +88,12 @@ def scores(index: Bm25Index, queries: DataFrame, query_id: str = "query_id", que
     return index.postings.join(weighted, "term").groupBy(query_id, "doc_idx").agg(F.sum(part).alias("score"))
 
 
-def search(index: Bm25Index, queries: DataFrame, top_k: int = 10, where: dict | None = None, over_fetch: int = 5, prefilter: bool = False, query_id: str = "query_id", query: str = "query", tokenize=text.search_tokens) -> DataFrame:
+def search(index: Bm25Index, queries: DataFrame, top_k: int = 10, where: dict | None = None, over_fetch: int = 5, prefilter: bool = False, query_id: str = "query_id", query: str = "query", tokenize=udf.search_tokens) -> DataFrame:
     """Each query's best chunks: (query_id, rank, score, columns of the store).
 
     With a filter, ``over_fetch`` times as many are ranked, then filtered and
-    ranked anew; prefilter=True filters before ranking instead, which can find more.
+    ranked anew, which can give fewer than top_k although more would pass;
+    prefilter=True filters before ranking instead and misses none.
     A top_k below 1 and queries without tokens give nothing.
     """
     found = scores(index, queries, query_id, query, tokenize)

@@ -71,30 +71,38 @@ def split_text(s: str, size: int = SIZE, overlap: int = OVERLAP, length: Callabl
     return out + (_pack(fitting, size, overlap) if fitting else [])
 
 
-def with_prefix(title: str, section: str, body: str) -> str:
-    return f"Title: {title}\nSection: {section}\nText:\n{body.strip()}".strip()
+def prefix(title: str, section: str) -> str:
+    """What stands before a chunk's own text."""
+    return "Title: %s\nSection: %s\nText:\n" % (title, section)
+
+
+#: What the budget of a piece leaves free and its least size; the share of a piece that repeats; finer sizes, as shares of the budget, and their least.
+SPARE, LEAST, LAP_SHARE, FINER = 8, 32, 5, ((1, 0), (2, 24), (3, 16), (4, 12))
 
 
 def split_to_limit(body: str, title: str, section: str, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> list[str]:
-    """Pieces of body that stay within limit with their prefix: split at the budget the prefix leaves, then at halves, thirds and quarters of it."""
-    whole = " ".join((body or "").split())
-    if not whole:
-        return []
-    total = lambda p: length(with_prefix(title, section, p))
-    if total(whole) <= limit:
-        return [whole]
-    budget = min(size, max(32, limit - total("") - 8))
-    lap = min(overlap, budget // 5)
-    tidy = lambda found: [" ".join(p.split()) for p in found if p.strip()]
-    pieces = tidy(split_text(whole, budget, min(lap, budget - 1), length)) or [whole]
-    for step in (budget, max(24, budget // 2), max(16, budget // 3), max(12, budget // 4)):
-        finer: list[str] = []
-        for p in pieces:
-            finer += [p] if total(p) <= limit else tidy(split_text(p, step, min(lap, step // 5), length)) or [p]
-        same, pieces = finer == pieces, finer
-        if all(total(p) <= limit for p in pieces) or (same and step <= 16):
-            break
-    return pieces
+    """Pieces of body that stay within limit with their prefix.
+
+    The prefix is measured once and what it leaves of the limit is the room of each
+    piece. A body without room is split at a budget somewhat below the room; a piece
+    that still has none is split alone, at finer and finer sizes.
+    """
+    taken = length(prefix(title, section).strip())
+    room, budget = limit - taken, min(size, max(LEAST, limit - taken - SPARE))
+    lap = min(overlap, budget // LAP_SHARE)
+    sizes = [budget, *(max(budget // part, least) for part, least in FINER)]
+    out: list[str] = []
+    waiting = [(" ".join((body or "").split()), 0)]  # the next piece last
+    while waiting:
+        piece, level = waiting.pop()
+        if level == len(sizes) or not piece or length(piece) <= room:
+            if piece:
+                out.append(piece)
+            continue
+        step = sizes[level]
+        parts = split_text(piece, step, min(lap, step // LAP_SHARE), length)
+        waiting += [(" ".join(p.split()), level + 1) for p in reversed(parts or [piece])]
+    return out
 
 
 def splitter(size: int = SIZE, overlap: int = OVERLAP, length: Callable[[str], int] = approx_len, keep_under: int = 0):
@@ -112,16 +120,6 @@ def splitter(size: int = SIZE, overlap: int = OVERLAP, length: Callable[[str], i
     return split
 
 
-def limit_splitter(size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len):
-    """UDF (body, title, section) -> pieces within the limit."""
-
-    @F.pandas_udf("array<string>")
-    def split(body: pd.Series, title: pd.Series, section: pd.Series) -> pd.Series:
-        return pd.Series([split_to_limit(b or "", t or "", s or "", size, overlap, limit, length) for b, t, s in zip(body, title, section, strict=True)])
-
-    return split
-
-
 def split_or_keep(size: int = SIZE, overlap: int = OVERLAP, keep_under: int = LIMIT, length: Callable[[str], int] = approx_len):
     """UDF text -> (pieces, how): whole if it is within keep_under tokens, else split."""
 
@@ -151,6 +149,9 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
     which are carried. A document within the limit is one section of its body; one
     with sections is split section by section; any other is split as a whole, and
     so is one whose sections give nothing.
+
+    All chunks of a row are made together and numbered as they come, so there is no
+    shuffle, and neither body nor sections are carried beyond the split.
     """
     tokens = text.approx_token_len(text.join_parts(F.col("title"), F.col("body"))) if length is approx_len else None
     if tokens is None:
@@ -166,10 +167,36 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
     whole = section("whole_document", text.text_of("body"))
     full = section("full_text", text.join_parts(F.col("title"), F.col("body")))
     wanted = F.when(F.col("_route") == "whole_document_under_512", whole).when(F.col("_route") == "semantic_section", F.col("sections").cast(_SECTION)).otherwise(full)
-    # an inner explode, then one batch-wise split for each section
-    rows = base.select("*", F.posexplode(wanted).alias("_at", "_s"))
-    rows = rows.withColumn("_p", limit_splitter(size, overlap, limit, length)(F.col("_s.section_text"), F.col("_title"), F.col("_s.section_title")))
-    return number_chunks(rows.select("*", F.posexplode("_p").alias("_k", "_text")), docs.columns)
+    heads = F.transform("_wanted", lambda s: F.struct(s["section_index"].alias("index"), s["section_title"].alias("title"), s["section_title_norm"].alias("norm")))
+    names, bodies = F.col("_wanted.section_title"), F.col("_wanted.section_text")
+    kept = [c for c in docs.columns if c not in ("body", "sections", "abstract")]
+    pieces = pieces_of(size, overlap, limit, length)("_title", names, bodies)
+    rows = base.withColumn("_wanted", wanted).select(*kept, "_title", "_route", heads.alias("_heads"), text.is_empty("title").alias("_bare"), text.is_empty("body").alias("_no_body"), pieces.alias("_p"))
+    rows = rows.select("*", F.size("_p").alias("total_chunks"), F.posexplode("_p").alias("chunk_index", "_c"))
+    head, own = F.get("_heads", F.col("_c.at")), F.col("_c.text")
+    at_front = F.btrim(F.concat(F.lit("Title: "), F.col("_title"), F.lit("\nSection: "), F.coalesce(head["title"], F.lit("")), F.lit("\nText:\n"), own))
+    return rows.select(
+        F.format_string("%s::chunk_%05d", "doc_id", "chunk_index").alias("chunk_id"), at_front.alias("text"), *kept, "chunk_index", "total_chunks",
+        text.approx_token_len(at_front).alias("token_count"), head["title"].alias("section_title"), head["norm"].alias("section_title_norm"),
+        F.col("_route").alias("split_strategy"), F.col("_bare").alias("title_missing"), F.col("_no_body").alias("body_missing"),
+        F.length(own).alias("chunk_char_len"), head["index"].alias("section_index"), F.col("_c.k").alias("section_chunk_index"),
+    )
+
+
+def pieces_of(size: int, overlap: int, limit: int, length: Callable[[str], int]):
+    """UDF (title, section titles, section texts) -> all pieces of a document: the section's place, the piece's in it, its text."""
+
+    @F.pandas_udf("array<struct<at:int,k:int,text:string>>")
+    def split(title: pd.Series, names: pd.Series, bodies: pd.Series) -> pd.Series:
+        out = []
+        for t, ns, bs in zip(title, names, bodies, strict=True):
+            found: list[dict] = []
+            for at, (name, body) in enumerate(zip(ns, bs, strict=True)):
+                found += [{"at": at, "k": k, "text": p} for k, p in enumerate(split_to_limit(body or "", t or "", name or "", size, overlap, limit, length))]
+            out.append(found)
+        return pd.Series(out, dtype=object)
+
+    return split
 
 
 def with_front_section(docs: DataFrame) -> DataFrame:
@@ -186,24 +213,6 @@ def chunk_abstracts(docs: DataFrame, text_col: str = "text_title_abstract", id_c
     return pieces.select(id_col, F.posexplode("p").alias("chunk_index", "text"))
 
 
-def number_chunks(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """Chunk index, total and id in each document, by section and position."""
-    from pyspark.sql.window import Window
-
-    doc = Window.partitionBy("doc_id")
-    at = F.row_number().over(doc.orderBy("_at", "_k")) - 1
-    body = F.col("_text")
-    out = rows.withColumn("chunk_index", at).withColumn("total_chunks", F.count("*").over(doc))
-    full = F.btrim(F.concat(F.lit("Title: "), F.col("_title"), F.lit("\nSection: "), F.col("_s.section_title"), F.lit("\nText:\n"), F.btrim(body)))
-    keep = [c for c in carried if c not in ("body", "sections", "abstract")]
-    return out.select(
-        F.format_string("%s::chunk_%05d", "doc_id", "chunk_index").alias("chunk_id"), full.alias("text"), *keep, "chunk_index", "total_chunks",
-        text.approx_token_len(full).alias("token_count"), F.col("_s.section_title").alias("section_title"), F.col("_s.section_title_norm").alias("section_title_norm"),
-        F.col("_route").alias("split_strategy"), text.is_empty("title").alias("title_missing"), text.is_empty("body").alias("body_missing"),
-        F.length(body).alias("chunk_char_len"), F.col("_s.section_index").alias("section_index"), F.col("_k").alias("section_chunk_index"),
-    )
-
-
 def exclusion_reason(parse_error: Column, duplicate: Column, title: Column, abstract: Column, body: Column, note: Column, tokens: Column) -> Column:
     """Why a document isn't chunked, the first reason that holds; null if it is."""
     t, a, b = (text.is_empty(c) for c in (title, abstract, body))

@@ -13,44 +13,71 @@ from docweave.functions import udf
 from docweave.operators.common import top_per_group
 from docweave.operators.filters import compile_where
 
-#: Values of all query vectors that are sent to every task; more are worked off in batches.
+#: Values of all query vectors that are sent to every task; more are worked off in groups.
 QUERY_VALUES = 4_000_000
-
-
-def _knn_batch(corpus: DataFrame, keys: list, matrix: np.ndarray, top_k: int, id_col: str, vector_col: str, key_type: str) -> DataFrame:
+#: Scores that a worker holds at a time.
+SCORES = 2_000_000
+
+
+class _Best:
+    """The k best (score, id) of each of n queries so far; ties go to the smaller id."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.least = k, np.full(n, -np.inf)
+        self.query, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)
+
+    def add(self, first: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        """scores: of queries first, first + 1 and on (rows) with the ids (columns)."""
+        row, col = np.nonzero(scores >= self.least[first : first + len(scores), None])
+        if len(row) > 4 * self.k * len(scores):  # most can't be among the best of their own batch
+            kth = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1 : self.k]
+            row, col = np.nonzero((scores >= kth) & (scores >= self.least[first : first + len(scores), None]))
+        inside = (self.query >= first) & (self.query < first + len(scores))
+        query, score, id_ = (np.concatenate(x) for x in ((self.query[inside], row + first), (self.score[inside], scores[row, col]), (self.id[inside], ids[col])))
+        order = np.lexsort((id_, -score, query)) if len(query) else np.zeros(0, np.int64)
+        query, score, id_ = query[order], score[order], id_[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        keep, last = place < self.k, place == self.k - 1
+        self.least[query[last]] = score[last]
+        self.query, self.score, self.id = (np.concatenate([old[~inside], new[keep]]) for old, new in ((self.query, query), (self.score, score), (self.id, id_)))
+
+
+def _knn_group(corpus: DataFrame, keys: list, matrix: np.ndarray, top_k: int, id_col: str, vector_col: str, key_type: str) -> DataFrame:
+    """Each task's best of its rows for each query; a task holds a batch, a slab of SCORES and its best."""
     kind = corpus.schema[id_col].dataType.simpleString()
     sent = corpus.sparkSession.sparkContext.broadcast((keys, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, q = sent.value
+        best, id_type = _Best(len(q), top_k), None
         for batch in batches:
-            column = batch.column(1)
+            column, id_type = batch.column(1), batch.schema.field(0).type
             good = [i for i, v in enumerate(column) if v.is_valid and len(v) == q.shape[1] and v.values.null_count == 0]
             if not good:
                 continue
             x = np.array([column[i].values.to_numpy() for i in good], dtype=np.float64)
             size = np.sqrt((x * x).sum(1))
-            s = np.round(q @ (x / np.where(size > 0, size, 1)[:, None]).T, 12)
-            at = np.arange(s.shape[1])[None, :].repeat(len(q), 0)
-            if s.shape[1] > top_k:  # what ties with the last place stays in
-                least = -np.partition(-s, top_k - 1, axis=1)[:, top_k - 1 : top_k]
-                keep = s >= least
-            else:
-                keep = np.ones_like(s, bool)
-            rows = np.nonzero(keep)[0]
-            ids = batch.column(0).take(pa.array([good[j] for j in at[keep]]))
-            yield pa.RecordBatch.from_arrays([pa.array([names[r] for r in rows]), ids, pa.array(s[keep])], names=["query_id", id_col, "score"])
+            x = (x / np.where(size > 0, size, 1)[:, None]).T
+            ids = np.array(batch.column(0).take(pa.array(good)).to_pylist(), dtype=object)
+            step = max(1, SCORES // len(good))
+            for a in range(0, len(q), step):
+                best.add(a, np.round(q[a : a + step] @ x, 12), ids)
+        if id_type is not None:
+            for a in range(0, len(best.query), 65_536):
+                b = a + 65_536
+                yield pa.RecordBatch.from_arrays([pa.array([names[r] for r in best.query[a:b]]), pa.array(best.id[a:b].tolist(), id_type), pa.array(best.score[a:b])], names=["query_id", id_col, "score"])
 
-    return corpus.select(id_col, vector_col).mapInArrow(run, f"query_id {key_type}, `{id_col}` {kind}, score double")
+    return corpus.select(id_col, vector_col).filter(F.col(id_col).isNotNull()).mapInArrow(run, f"query_id {key_type}, `{id_col}` {kind}, score double")
 
 
 def knn(corpus: DataFrame, queries: DataFrame, top_k: int = 10, where: dict | None = None, id_col: str = "id", vector_col: str = "embedding", query_id: str = "query_id") -> DataFrame:
     """(query_id, rank, id, score, distance): score is the cosine, distance 1 minus it; ties go to the smaller id.
 
     A filter applies before the search. The corpus is scanned batch by batch and
-    a batch keeps each query's best, so what is shuffled is the number of batches
-    times top_k rows a query. Query vectors are sent to the tasks in groups of at
-    most QUERY_VALUES values. Null vectors and those of another length are skipped.
+    a task keeps each query's best, so what is shuffled is the number of tasks
+    times top_k rows a query. Query vectors go through the driver to the tasks in
+    groups of at most QUERY_VALUES values, with a scan of the corpus for each group.
+    Null vectors and ids and vectors of another length are skipped.
     """
     kept = corpus.filter(compile_where(where)) if where else corpus
     rows = queries.filter(F.col(vector_col).isNotNull()).select(query_id, vector_col).toLocalIterator()
@@ -62,7 +89,7 @@ def knn(corpus: DataFrame, queries: DataFrame, top_k: int = 10, where: dict | No
         if keys and top_k > 0:
             m = np.array(vectors, dtype=np.float64)
             size = np.sqrt((m * m).sum(1))
-            found = _knn_batch(kept, keys, m / np.where(size > 0, size, 1)[:, None], top_k, id_col, vector_col, kind)
+            found = _knn_group(kept, keys, m / np.where(size > 0, size, 1)[:, None], top_k, id_col, vector_col, kind)
             out = found if out is None else out.unionByName(found)
         keys, vectors = [], []
 

@@ -1,6 +1,10 @@
 import math
+import random
+import re
+from dataclasses import dataclass
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from docweave.operators import bm25, chunking, evaluation, filters, fusion, profile, ranking, understanding, vectors
@@ -148,7 +152,7 @@ def test_splitting_keeps_sizes_and_words():
     assert all(0 < chunking.approx_len(p) <= 100 for p in pieces)
     assert {w for p in pieces for w in p.replace(".", "").split()} == set(body.replace(".", "").split())
     assert chunking.split_text("short", 100, 20) == ["short"]
-    assert all(chunking.approx_len(chunking.with_prefix("T", "S", p)) <= 60 for p in chunking.split_to_limit(body, "T", "S", 50, 10, 60))
+    assert all(chunking.approx_len(chunking.prefix("T", "S") + p) <= 60 for p in chunking.split_to_limit(body, "T", "S", 50, 10, 60))
     with pytest.raises(ValueError):
         chunking.split_text("x", 5, 5)
 
@@ -173,12 +177,57 @@ def test_exclusions(spark):
     assert got == ["xml_parse_error", "duplicate_pmcid", "drop_no_text", "no_body_for_fulltext", "severe_encoding_issue", None]
 
 
-def test_entities():
-    found = understanding.entities("MI treatment with metformin, heart attack and EGFRvIII")
-    assert [(e["text"], e["normalized"]) for e in found] == [("MI", "myocardial infarction"), ("treatment", "treatment"), ("metformin", "metformin")]
-    known = understanding.Terminology({"D1": {"preferred_term": "Diabetes Mellitus, Type 2", "terms": ["Diabetes Mellitus, Type 2", "type 2 diabetes", "T2D"], "record_type": "descriptor"}}, {"type 2 diabetes": ["D1"]})
-    both = understanding.entities("type 2 diabetes and insulin", known)
-    assert [(e["concept_id"], e["text"]) for e in both] == [("D1", "type 2 diabetes"), (None, "insulin")]
+def entities_of(spark, queries, concepts=None):
+    rows = understanding.entities(spark.createDataFrame([(q,) for q in queries], "query string"), concepts).collect()
+    return {r["query"]: r.entities for r in rows}
+
+
+def test_entities(spark):
+    q = "MI treatment with metformin, heart attack and EGFRvIII"
+    found = entities_of(spark, [q, q, "", "nothing"])
+    assert [(e.text, e.normalized, q[e.start : e.end]) for e in found[q]] == [("MI", "myocardial infarction", "MI"), ("treatment", "treatment", "treatment"), ("metformin", "metformin", "metformin")]
+    assert set(found) == {q}
+    shape = "concept_id string, preferred_term string, terms array<string>, record_type string"
+    known = spark.createDataFrame([("D1", "Diabetes Mellitus, Type 2", ["Diabetes Mellitus, Type 2", "type 2 diabetes", "T2D"], "descriptor"), ("D0", "COVID-19", ["covid-19", "x"], "descriptor"), ("D9", "Other", ["Type 2  Diabetes"], "descriptor")], shape)
+    both = entities_of(spark, ["type 2 diabetes and insulin", "covid-19", "the covid-19 virus"], known)
+    assert [(e.concept_id, e.text) for e in both["type 2 diabetes and insulin"]] == [("D1", "type 2 diabetes"), (None, "insulin")]
+    assert both["type 2 diabetes and insulin"][0].synonyms == ["Diabetes Mellitus, Type 2", "T2D"]
+    assert [e.concept_id for e in both["covid-19"]] == ["D0"] and "the covid-19 virus" not in both  # a term with a hyphen is found only as a whole query
+
+
+def brute_entities(query):
+    """Every phrase at every place, then the first that clashes with none before, by start and length."""
+    found = []
+    for phrase, normal, kind in understanding.ENTITIES:
+        for a in range(len(query)):
+            b = a + len(phrase)
+            near = query[max(0, a - 1) : a] + query[b : b + 1]
+            if query[a:b].lower() == phrase.lower() and not (re.search("[A-Za-z0-9]", phrase) and re.search("[A-Za-z0-9]", near)):
+                found.append((a, -b, b, normal, kind))
+    out = []
+    for a, _, b, normal, kind in sorted(found):
+        if all((b <= x or y <= a) and (kind, normal.lower()) != k for x, y, k in out):
+            out.append((a, b, (kind, normal.lower())))
+    return [(a, b, n) for a, b, (_, n) in out]
+
+
+def test_entities_equal_a_scan_of_all_places(spark):
+    rng = random.Random(4)
+    parts = [p for p, _, _ in understanding.ENTITIES] + ["of", "and", "x", "2", "型", "的", ",", "-", "type", "A"]
+    queries = {"".join(rng.choice(parts) + rng.choice([" ", " ", "", ", "]) for _ in range(rng.randint(1, 9))).strip() for _ in range(150)}
+    got = entities_of(spark, queries)
+    for q in queries:
+        assert [(e.start, e.end, e.normalized.lower()) for e in got.get(q, [])] == brute_entities(q), q
+
+
+def test_query_columns():
+    @dataclass
+    class Asked:
+        clean_query: str
+
+    assert understanding.query_columns({"a": 1}) == {"a": 1} and understanding.query_columns(Asked("x")) == {"clean_query": "x"} and understanding.query_columns(Row(a=1)) == {"a": 1}
+    with pytest.raises(TypeError):
+        understanding.query_columns("a query")
 
 
 def test_understanding(spark):
