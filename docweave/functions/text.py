@@ -62,6 +62,13 @@ SECTION_PATTERNS = {
     "discussion": r"(?i)\bdiscussion\b",
     "conclusion": r"(?i)\b(conclusions?|summary)\b",
 }
+#: Further words that say nothing in the full texts of articles, and phrases of them.
+NOISE = STOPWORDS + tuple(
+    """http https www com org result method background discussion conclusion introduction both only however shown number first
+    including respectively therefore although according described reported observed whether because while could would should
+    might must well same click here pre-publication history read approved final manuscript participated design carried""".split()
+)
+NOISY_PHRASES = ("data shown", "click here", "pre-publication history", "approved final", "final manuscript", "read approved", "participated design", "carried out", "here data")
 WORD = r"\b[A-Za-z][A-Za-z\-]{2,}\b"
 ABBREVIATION = r"\b[A-Z][A-Z0-9\-]{1,12}\b"
 APPROX_TOKEN = r"[A-Za-z][A-Za-z0-9_+-]*|\d+(?:\.\d+)?"

@@ -39,7 +39,7 @@ class Bm25Index:
             made = spark.read.schema("k1 double, b double").json(f"{path}/complete").first()
             parts = [spark.read.parquet(f"{path}/{n}") for n in PARTS]
         except AnalysisException as e:
-            raise FileNotFoundError(f"{path} holds no complete index: {e.getErrorClass()}") from e
+            raise FileNotFoundError(f"{path} holds no complete index: {e.getCondition()}") from e
         return cls(*parts, k1=made.k1 if k1 is None else k1, b=made.b if b is None else b)
 
     def documents(self, numbers: list[int]) -> DataFrame:

@@ -27,6 +27,22 @@ def approx_len(s: str) -> int:
     return len(_TOKEN.findall(s or ""))
 
 
+def tokenizer_length(path: str, special: bool = True) -> Callable[[str], int]:
+    """Token length by a tokenizer file, special tokens included; blank texts have 0. The file must be readable on every worker."""
+    loaded: list = []
+
+    def length(s: str | None) -> int:
+        if not s or not s.strip():
+            return 0
+        if not loaded:
+            from tokenizers import Tokenizer
+
+            loaded.append(Tokenizer.from_file(path))
+        return len(loaded[0].encode(s, add_special_tokens=special).ids)
+
+    return length
+
+
 def _cut(s: str, sep: str) -> list[str]:
     """Parts of s; a separator opens the part after it."""
     if not sep:

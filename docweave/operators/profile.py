@@ -54,8 +54,9 @@ def with_length_group(df: DataFrame, column: str) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, group: str, n: int, key: str, seed: int = 42) -> DataFrame:
-    """n rows of each group, the ones with the smallest seeded hash of their key; the same on every run."""
-    return top_per_group(df, [group], [F.xxhash64(F.lit(seed), F.col(key)), F.col(key)], n, "_rank").drop("_rank")
+    """n rows of each group, the ones with the smallest digest of key and seed; the same on every run."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(seed)).cast("binary"))
+    return top_per_group(df, [group], [digest, F.col(key)], n, "_rank").drop("_rank")
 
 
 def group_summary(df: DataFrame, group: str, column: str, order: list[str]) -> DataFrame:
@@ -91,13 +92,14 @@ def top_terms(df: DataFrame, terms: Column, limit: int = 80, term: str = "term")
     return df.select(F.explode(terms).alias(term)).groupBy(term).agg(F.count("*").alias("count")).orderBy(F.desc("count"), term).limit(limit)
 
 
-def top_ngrams(df: DataFrame, tokens: Column, n: int, limit: int = 80, stopwords: tuple[str, ...] = text.STOPWORDS) -> DataFrame:
-    """The most frequent runs of n tokens without stop words. Stop words are marked once for each token, not for each run."""
+def top_ngrams(df: DataFrame, tokens: Column, n: int, limit: int = 80, stopwords: tuple[str, ...] = text.STOPWORDS, phrases: tuple[str, ...] = ()) -> DataFrame:
+    """The most frequent runs of n tokens without stop words, noisy phrases left out. Stop words are marked once for each token, not for each run."""
     marked = F.transform(tokens, lambda w: F.when(w.isin(*stopwords), F.lit(None)).otherwise(w))
     rows = df.select(marked.alias("t")).filter(F.size("t") >= n).select("t", F.explode(F.sequence(F.lit(1), F.size("t") - (n - 1))).alias("i"))
     words = [F.element_at("t", F.col("i") + k) for k in range(n)]
     grams = rows.select(*[w.alias(f"w{k}") for k, w in enumerate(words)]).dropna()
     counts = grams.groupBy(F.concat_ws(" ", *grams.columns).alias("term")).agg(F.count("*").alias("count"))
+    counts = counts.filter(~F.col("term").isin(*phrases)) if phrases else counts
     return counts.orderBy(F.desc("count"), "term").limit(limit)
 
 
@@ -152,3 +154,19 @@ CONCEPT_VARIANTS = {
     "ulcerative colitis": [r"\bUC\b", r"\bulcerative colitis\b", r"\binflammatory bowel disease\b", r"\bIBD\b"],
 }
 CASE_SENSITIVE = {r"\bHIV(?:-1)?\b", r"\bAIDS\b", r"\bPCR\b", r"\bRT-PCR\b", r"\bCI\b", r"\bOR\b"}
+
+
+def section_titles(df: DataFrame, titles: str, limit: int = 50) -> DataFrame:
+    """The most frequent section titles in lower case; equal counts in the order of the titles."""
+    named = F.filter(F.transform(F.coalesce(F.col(titles), F.array().cast("array<string>")), text.section_title_norm), lambda t: t != "")
+    return top_terms(df, named, limit, "section_title")
+
+
+def box(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """What a box plot shows: quartiles, the furthest values within ``reach`` times the range between the quartiles, and how many lie beyond."""
+    c = F.col(column).cast("double")
+    q = df.agg(*[F.percentile(c, p).alias(n) for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    low, high = F.col("q1") - reach * (F.col("q3") - F.col("q1")), F.col("q3") + reach * (F.col("q3") - F.col("q1"))
+    inside = c.between(low, high)
+    rows = df.crossJoin(F.broadcast(q))  # one row
+    return rows.groupBy("q1", "median", "q3").agg(F.min(F.when(inside, c)).alias("low"), F.max(F.when(inside, c)).alias("high"), F.count_if(~inside).alias("outliers"))

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from docweave.functions import numeric, udf
 from docweave.functions.text import text_of
+from docweave.storage import cut_lineage
 
 
 def fallback_relevance(df: DataFrame, query_id: str = "query_id") -> DataFrame:
@@ -28,6 +29,32 @@ def rerank(df: DataFrame, query: str, passage: str = "text", top_n: int | None =
     return scored.withColumn("reranker_rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("relevance_score"), "chunk_id")))
 
 
+def relevance(df: DataFrame, query: str, passage: str = "text", top_n: int = 50, reranker: str = "overlap", strict: bool = False, disable: bool = False, query_id: str = "query_id") -> tuple[DataFrame, bool, list[str]]:
+    """(the first top_n candidates of each query with relevance_score, whether the reranker made it, warnings).
+
+    The reranker runs here, over all queries at once, and its scores are written to
+    the shared folder. Where it fails, or leaves a candidate without a score, strict
+    raises; else the min-max of the fusion score stands in for all, with a warning.
+    disable doesn't try.
+    """
+    if strict and disable:
+        raise ValueError("a reranker can't be both strict and disabled")
+    plain = df.filter(F.col("fusion_rank") <= top_n)
+    if disable:
+        return fallback_relevance(plain, query_id), False, ["reranker disabled: the normalized fusion score is the relevance"]
+    try:
+        done = cut_lineage(rerank(plain, query, passage, top_n, reranker, query_id), "reranked")
+        missing = done.filter("reranker_raw_score is null or isnan(reranker_raw_score)").count()
+        if missing:
+            raise RuntimeError(f"{missing} candidates have no score")
+    except Exception as e:
+        if strict:
+            raise
+        said = str(e).strip().splitlines()
+        return fallback_relevance(plain, query_id), False, [f"reranker unavailable, the normalized fusion score is the relevance: {type(e).__name__}: {said[-1] if said else ''}"]
+    return done, True, []
+
+
 def score(df: DataFrame, current_year: int, weights: dict[str, float] | None = None, decay_years: int = 20, query_id: str = "query_id", journal: str = "journal", pub_year: str = "pub_year", pub_date: str | None = None) -> DataFrame:
     """Adds recency_score, authority_score, final_score and final_rank. The year is a parameter, so results can be had again."""
     out = df.withColumn("recency_score", numeric.recency(pub_year, pub_date, current_year, decay_years)).withColumn("authority_score", numeric.authority(journal))

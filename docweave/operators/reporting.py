@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,3 +95,51 @@ def breakdown(df: DataFrame, group: str, value: str) -> DataFrame:
     """(group, breakdown): ``value=count`` of each value, sorted and joined by semicolons."""
     n = df.groupBy(group, value).agg(F.count("*").alias("n"))
     return n.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", F.col(value), F.col("n").cast("string")))), "; ").alias("breakdown"))
+
+
+def one_line(c: Column | str, most: int = 800) -> Column:
+    """The first characters of a text, line breaks as spaces."""
+    return F.translate(F.substring(text.text_of(c), 1, most), "\n", " ")
+
+
+def tagged_union(tables: dict[str, DataFrame], tag: str = "scope") -> DataFrame:
+    """Rows of all tables with the name of theirs in a first column; columns that a table lacks are null."""
+    parts = [df.select(F.lit(name).alias(tag), "*") for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def by_group_and_length(df: DataFrame, group: str, length: str, id_col: str, groups: tuple[str, ...] = ("short", "medium", "long")) -> DataFrame:
+    """A sample in the order it is reviewed: by group as given, then by length, then by id."""
+    return df.orderBy(F.coalesce(F.array_position(F.array(*map(F.lit, groups)), F.col(group)), F.lit(0)), F.col(length), F.col(id_col))
+
+
+def distinct_values(values: str) -> Column:
+    """Aggregate: sorted distinct values that aren't blank."""
+    return F.array_sort(F.collect_set(F.when(~text.is_empty(values), F.col(values))))
+
+
+def public_paths(stats: DataFrame, root: str, columns: tuple[str, ...]) -> DataFrame:
+    """stats with paths below root made relative to it, and others cut to their last part."""
+    base = root.rstrip("/") + "/"
+    out = stats
+    for c in columns:
+        p = F.col(c)
+        short = F.when(p.startswith(base), F.substring(p, len(base) + 1, 1 << 30)).otherwise(F.element_at(F.split(F.regexp_replace(p, "/+$", ""), "/"), -1))
+        out = out.withColumn(c, F.when(p.isNull() | (p == ""), p).otherwise(short))
+    return out
+
+
+def human_seconds(seconds: Column | str) -> Column:
+    """``12.3s``, ``4m 5s`` or ``3h 7m``."""
+    s = F.col(seconds) if isinstance(seconds, str) else seconds
+    minutes = F.floor(s / 60)
+    return F.when(s < 60, F.format_string("%.1fs", s.cast("double"))).when(minutes < 60, F.format_string("%dm %.0fs", minutes, (s - minutes * 60).cast("double"))).otherwise(F.format_string("%dh %dm", F.floor(minutes / 60), minutes % 60))
+
+
+def progress(done: Column, total: Column, elapsed: Column, width: int = 24) -> dict[str, Column]:
+    """share, rate a second, seconds to go and a bar of a run."""
+    share = F.when(total <= 0, 0.0).otherwise(F.least(F.lit(1.0), done / total))
+    rate = F.when(done > 0, done / F.greatest(elapsed, F.lit(0.001))).otherwise(0.0)
+    left = F.when(rate > 0, F.greatest(total - done, F.lit(0)) / rate).otherwise(0.0)
+    full = F.floor(share * width).cast("int")
+    return {"share": share, "rate": rate, "eta_seconds": left, "bar": F.concat(F.repeat(F.lit("#"), full), F.repeat(F.lit("-"), F.lit(width) - full))}

@@ -119,6 +119,15 @@ def embed(df: DataFrame, text_col: str, backend: str = "hash", output: str = "em
     return df.withColumn(output, udf.EMBEDDINGS[backend](**options)(F.col(text_col)))
 
 
+def embed_queries(df: DataFrame, text_col: str, backend: str = "hash", output: str = "embedding", **options) -> DataFrame:
+    """As :func:`embed`, for queries: the back end's instruction comes before each text that isn't blank."""
+    asked = F.col(text_col)
+    ask = udf.QUERY_PREFIX.get(backend, "")
+    if ask:
+        asked = F.when(F.btrim(asked) != "", F.concat(F.lit(ask), asked)).otherwise(asked)
+    return df.withColumn(output, udf.EMBEDDINGS[backend](**options)(asked))
+
+
 def bucket_idf(df: DataFrame, text_col: str, dim: int = 384) -> dict[int, float]:
     """ln((1 + N) / (1 + df)) + 1 of each hash bucket; at most ``dim`` values reach the driver."""
     n = max(1, df.count())

@@ -232,7 +232,7 @@ def unlabelled(spark, sf_dir):
 
 
 _TERMS = r"""list_concat({0}, list_filter(flatten(list_transform({0}, lambda t: CASE WHEN regexp_matches(t, '[-./]') THEN string_split_regex(t, '[-./]') ELSE CAST([] AS VARCHAR[]) END)), lambda p: p <> ''))"""
-_LIST = _TERMS.format(r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+(?:[-./][\p{{L}}\p{{N}}]+)*')")
+_LIST = _TERMS.format(r"regexp_extract_all(replace(lower({0}), 'ß', 'ss'), '[\p{{L}}\p{{N}}]+(?:[-./][\p{{L}}\p{{N}}]+)*')")
 _BM25 = f"""WITH t AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS doc_idx, {_LIST.format('text')} AS t FROM documents),
 p AS (SELECT term, doc_id, doc_idx, dl, count(*) AS tf FROM (SELECT doc_id, doc_idx, len(t) AS dl, unnest(t) AS term FROM t) GROUP BY ALL),
 s AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS avgdl FROM t), df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
@@ -287,10 +287,14 @@ def _vector(spark, sf_dir, k=20):
 
 
 def _keyword(spark, sf_dir, k=20):
-    """A second path: rows of the same label, near in number."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    q = e.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
-    s = q.join(e, "label").select("query_id", F.col("vec_id").alias("chunk_id"), (1.0 / (1 + F.abs(F.col("query_id") - F.col("vec_id")))).alias("score"))
+    """A second path: rows of the same label, near in number.
+
+    Rows are numbered by label and id, so the nearest of a label are among the k
+    places before and after; no label's rows are paired with each other.
+    """
+    e = row_index(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "label", "vec_id", name="at")
+    q = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label", F.explode(F.sequence(F.col("at") - k, F.col("at") + k)).alias("at"))
+    s = q.join(e, ["at", "label"]).select("query_id", F.col("vec_id").alias("chunk_id"), (1.0 / (1 + F.abs(F.col("query_id") - F.col("vec_id")))).alias("score"))
     return top_per_group(s, ["query_id"], [F.desc("score"), F.col("chunk_id")], k).select("query_id", "chunk_id", "rank", "score")
 
 
@@ -453,7 +457,8 @@ def split_strategies(spark, sf_dir):
     return chunking.compare_strategies(table(spark, sf_dir, "documents"), "text")
 
 
-@query()
+@query("""WITH q AS (SELECT quantile_cont(n_chars, 1/3) AS a, quantile_cont(n_chars, 2/3) AS b FROM documents), g AS (SELECT doc_id, CASE WHEN n_chars <= a THEN 'short' WHEN n_chars <= b THEN 'medium' ELSE 'long' END AS length_group FROM documents, q)
+SELECT doc_id, length_group FROM (SELECT *, row_number() OVER (PARTITION BY length_group ORDER BY md5(doc_id || ':42'), doc_id) AS r FROM g) WHERE r <= 5""")
 def stratified_sample(spark, sf_dir):
     d = profile.with_length_group(table(spark, sf_dir, "documents"), "n_chars")
     return profile.stratified_sample(d, "length_group", 5, "doc_id").select("doc_id", "length_group")

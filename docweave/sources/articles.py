@@ -5,7 +5,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.functions import text
@@ -16,11 +16,15 @@ _SECTIONS = "array<struct<section_index:int,section_title:string,section_title_n
 _SHAPE = "struct<" + ",".join(f"{f}:string" for f in FIELDS) + f",sections:{_SECTIONS},section_titles:array<string>,parse_error:string>"
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.xml") -> DataFrame:
-    """(path, source_file, content) of all files below folder; nothing is read until content is used."""
+def list_files(spark: SparkSession, folder: str, glob: str = "*.xml", limit: int | None = None) -> DataFrame:
+    """(path, source_file, content) of all files below folder, or of the first ``limit`` by path; nothing is read until content is used."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
     root = folder.rstrip("/") + "/"
-    return files.select("path", F.regexp_replace("path", "^.*?" + _quoted(root), "").alias("source_file"), "content")
+    out = files.select("path", F.regexp_replace("path", "^.*?" + _quoted(root), "").alias("source_file"), "content")
+    if limit is None:
+        return out
+    first = out.select("path").orderBy("path").limit(limit)
+    return out.join(first, "path", "left_semi")
 
 
 def _quoted(s: str) -> str:
@@ -64,6 +68,35 @@ def _date(root: ET.Element) -> tuple[str, str]:
     return y, y
 
 
+def top_sections(markup: str, whole_body: bool = True) -> list[dict]:
+    """The direct sections of an article's body, untitled ones named by number; without any, the whole body as one (if whole_body)."""
+    try:
+        root = ET.fromstring(markup)
+    except ET.ParseError:
+        return []
+    body = root if _name(root) == "body" else _first(root, "body")
+    out = []
+    for k, section in enumerate(c for c in (body if body is not None else ()) if _name(c) == "sec"):
+        title = next((c for c in section if _name(c) == "title"), None)
+        inner = [section.text, *(t for c in section for t in ((c.tail,) if c is title else (*c.itertext(), c.tail)))]
+        words = " ".join(" ".join(filter(None, inner)).split())
+        if words:
+            out.append({"section_index": k, "section_title": _text(title) or f"Body section {k + 1}", "section_text": words, "section_source": "xml_top_level_sec"})
+    if not out and whole_body and (words := _text(body)):
+        out.append({"section_index": 0, "section_title": "Body", "section_text": words, "section_source": "xml_body_fallback"})
+    return out
+
+
+def parse_top_sections(df: DataFrame, content: str = "content", whole_body: bool = True) -> DataFrame:
+    """df with an array ``sections`` of :func:`top_sections`; malformed bytes are left out."""
+
+    @F.pandas_udf("array<struct<section_index:int,section_title:string,section_text:string,section_source:string>>")
+    def parse(data: pd.Series) -> pd.Series:
+        return data.map(lambda b: top_sections(b if isinstance(b, str) else bytes(b or b"").decode("utf-8", errors="ignore"), whole_body))
+
+    return df.withColumn("sections", parse(content))
+
+
 def _sections(body: ET.Element | None) -> tuple[list[dict], list[str]]:
     if body is None:
         return [], []
@@ -152,3 +185,23 @@ def light_records(records_: DataFrame) -> DataFrame:
         (flags["introduction"] & flags["methods"] & flags["results"] & flags["discussion"]).alias("imrad_core"), text.section_label(*(flags[k] for k in text.SECTION_PATTERNS)).alias("section_label"),
         text.route(n_full, has).alias("route"), text.quality_of_record("title", "abstract", "body", bad).alias("quality_decision"), text.text_hash("text_title_abstract").alias("text_hash"),
     )
+
+
+def base_documents(records_: DataFrame, length: Column | None = None) -> DataFrame:
+    """What chunking needs of records: ids, texts, token lengths, what is missing and a note on encoding.
+
+    length: the token length of title and body, if it isn't the default.
+    """
+    both = text.join_parts(F.col("title"), F.col("body"))
+    return records_.select(
+        text.chunk_doc_id("pmcid", "pmid", "source_file").alias("doc_id"), "source_file", "title", "abstract", "body", "journal", "pub_date", "pub_year", "pmid", "pmcid", "article_type", "sections",
+        (text.approx_token_len(both) if length is None else length).alias("token_len"), text.approx_token_len("body").alias("body_token_len"),
+        text.is_empty("title").alias("title_missing"), text.is_empty("abstract").alias("abstract_missing"), text.is_empty("body").alias("body_missing"),
+        text.encoding_note(F.concat_ws("\n", "title", "abstract", "body")).alias("encoding_note"), "parse_error",
+    )
+
+
+def preview(files: DataFrame, most: int = 300) -> DataFrame:
+    """Fields of the first article by path and the first characters of its texts: one row."""
+    one = parse_markup(files.orderBy("path").limit(1))
+    return one.select("source_file", "title", "journal", "pub_date", "pmid", "pmcid", "article_type", *[text.preview(c, most).alias(c) for c in ("abstract", "body")], F.size("section_titles").alias("section_titles"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +35,13 @@ def read_parts(spark: SparkSession, manifest: str, folder: str, parts: set[int]
     rows = spark.read.option("header", True).csv(manifest).select(F.col("part_id").cast("int").alias("part_id"), "part_file").orderBy("part_id")
     rows = rows.filter(F.col("part_id").isin(sorted(parts))) if parts is not None else rows
     rows = rows.limit(max_parts) if max_parts is not None else rows
-    files = [f"{folder}/{os.path.basename(r.part_file)}" for r in rows.collect()]  # a manifest has a row for each file
-    if not files:
+    parts_ = {os.path.basename(r.part_file.rstrip("/")): r.part_id for r in rows.collect()}  # a manifest has a row for each part
+    if not parts_:
         raise ValueError("no part is selected")
-    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    return spark.read.parquet(*files).withColumn("part_id", F.regexp_extract(name, r"(\d+)", 1).cast("int"))
+    # a part is a file, or a folder of files
+    steps = F.split("_metadata.file_path", "/")
+    number = F.create_map(*[F.lit(x) for pair in parts_.items() for x in pair])
+    return spark.read.parquet(*[f"{folder}/{name}" for name in parts_]).withColumn("part_id", F.coalesce(number[F.element_at(steps, -1)], number[F.element_at(steps, -2)]))
 
 
 def row_budget(spark: SparkSession, manifest: str, parts: set[int] | None = None, max_rows: int | None = None) -> int:
@@ -48,6 +51,17 @@ def row_budget(spark: SparkSession, manifest: str, parts: set[int] | None = None
     return n if max_rows is None else min(n, max_rows)
 
 
+def read_budgeted(spark: SparkSession, manifest: str, folder: str, columns: list[str], order: list[str], max_rows: int | None = None, parts: set[int] | None = None) -> DataFrame:
+    """Some columns of the parts, the first max_rows rows by part and order; only these columns are read."""
+    rows = read_parts(spark, manifest, folder, parts).select("part_id", *columns)
+    return rows if max_rows is None else rows.orderBy("part_id", *order).limit(max_rows)
+
+
+def write_stats(stats: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One row as a JSON document."""
+    stats.limit(1).coalesce(1).write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
@@ -92,14 +106,14 @@ def previews(chunks: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
 
 
 #: Elements of the three kinds of terminology records, and where each has its id, name and terms.
-_KINDS = {"descriptor": ("DescriptorRecord", "DescriptorUI", "DescriptorName"), "supplemental": ("SupplementalRecord", "SupplementalRecordUI", "SupplementalRecordName"), "qualifier": ("QualifierRecord", "QualifierUI", "QualifierName")}
+KINDS = {"descriptor": ("DescriptorRecord", "DescriptorUI", "DescriptorName"), "supplemental": ("SupplementalRecord", "SupplementalRecordUI", "SupplementalRecordName"), "qualifier": ("QualifierRecord", "QualifierUI", "QualifierName")}
 
 
 def read_terminology(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Concept records from terminology XML (plain or gzip), by kind: raw rows for ``concepts``."""
     out = None
     for kind, path in paths.items():
-        tag, ui, name = _KINDS[kind]
+        tag, ui, name = KINDS[kind]
         shape = f"`{ui}` string, `{name}` struct<String:string>, TreeNumberList struct<TreeNumber:array<string>>, ConceptList struct<Concept:array<struct<ScopeNote:string,TermList:struct<Term:array<struct<String:string>>>>>>"
         rows = spark.read.format("xml").option("rowTag", tag).schema(shape).load(path)
         terms = F.flatten(F.transform("ConceptList.Concept", lambda c: F.transform(c.TermList.Term, lambda t: t.String)))
@@ -130,3 +144,23 @@ def terminology_stats(all_: DataFrame) -> DataFrame:
     unique = term_index(kept).agg(F.count_distinct("term_key").alias("unique_terms"))
     counts = all_.agg(F.count("*").alias("seen"), F.count_if(F.col("skip_reason").isNull()).alias("kept"), *[F.count_if(F.col("skip_reason") == r).alias(f"skipped_{r}") for r in ("missing_id", "missing_preferred_term", "no_valid_terms")], F.coalesce(F.sum(F.when(F.col("skip_reason").isNull(), F.col("term_count"))), F.lit(0)).alias("terms"))
     return counts.crossJoin(unique)  # one row each
+
+
+_LOADED: dict[tuple, DataFrame] = {}
+
+
+def load_terminology(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """Concepts that were written as JSON lines or Parquet; None where there is no path or nothing there. Read once a session and kept."""
+    if not path:
+        return None
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOADED:
+        shape = "concept_id string, preferred_term string, terms array<string>, record_type string, tree_numbers array<string>, scope_note string"
+        try:
+            found = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.schema(shape).json(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        _LOADED[key] = found.cache()
+    return _LOADED[key]

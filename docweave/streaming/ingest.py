@@ -38,3 +38,47 @@ def upsert(stream: DataFrame, target: str, key: str, checkpoint: str, transform:
 def windowed_counts(stream: DataFrame, time_col: str, key: str, value: str, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """Counts and sums by event-time window and key; late rows within the delay still count (an extension)."""
     return stream.withWatermark(time_col, delay).groupBy(F.window(time_col, window).alias("w"), key).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("window_start"), key, "n", "total")
+
+
+def unseen(rows: DataFrame, written: DataFrame | None, key: str) -> DataFrame:
+    """First rows of each key that ``written`` (the parts finished before) doesn't have; blank keys can't be told apart and stay."""
+    blank = F.coalesce(F.btrim(F.col(key).cast("string")), F.lit("")) == ""
+    named = rows.filter(~blank).dropDuplicates([key])
+    if written is not None:
+        named = named.join(written.select(key).distinct(), key, "left_anti")
+    return named.select(rows.columns).unionByName(rows.filter(blank))
+
+
+def write_missing_parts(rows: DataFrame, target: str, key: str, part: str = "part_id", transform: Callable[[DataFrame], DataFrame] | None = None) -> list[int]:
+    """Write the parts of rows that target lacks, each in a folder of its own, in order; the parts written.
+
+    Keys of parts that are there, written by an earlier run or just now, count as
+    seen, so a run that was interrupted goes on as if it had not been. A part
+    without rows is written too, empty.
+    """
+    spark = rows.sparkSession
+    parts = sorted(r[0] for r in rows.select(part).distinct().collect())  # a row for each part
+    done = []
+    for number in parts:
+        folder = f"{target.rstrip('/')}/{part}={number}"
+        if _there(spark, f"{folder}/_SUCCESS"):
+            continue
+        before = [f"{target.rstrip('/')}/{part}={n}" for n in parts if n < number]
+        written = spark.read.parquet(*before) if before else None
+        new = unseen(rows.filter(F.col(part) == number).drop(part), written, key)
+        (transform(new) if transform else new).write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        done.append(number)
+    return done
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def rest_after(files: DataFrame, finished: DataFrame | None, order: str = "path") -> DataFrame:
+    """Rows of files from where an earlier run stopped: those after the first n by order, n being the rows it finished."""
+    from docweave.operators.common import row_index
+
+    n = 0 if finished is None else finished.count()
+    return files if not n else row_index(files, order, name="_at").filter(F.col("_at") >= n).drop("_at")
