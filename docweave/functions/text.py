@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WS = r"(?U)\s+"
+#: White space of any kind, for trimming.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _c(c: Column | str) -> Column:
@@ -26,12 +28,16 @@ def collapse(c: Column | str) -> Column:
 
 
 def is_empty(c: Column | str) -> Column:
-    return collapse(c) == ""
+    """No character but white space: looks no further than the first one."""
+    return ~text_of(c).rlike(r"(?U)\S")
+
+
+def strip(c: Column | str) -> Column:
+    return F.btrim(text_of(c), F.lit(SPACES))
 
 
 def join_parts(*parts: Column, sep: str = "\n\n") -> Column:
     """Stripped parts that aren't empty, joined."""
-    strip = lambda x: F.regexp_replace(text_of(x), r"(?U)^\s+|\s+$", "")
     return F.array_join(F.filter(F.array(*map(strip, parts)), lambda x: x != ""), sep)
 
 
@@ -192,20 +198,23 @@ def search_tokens(c: Column | str) -> Column:
     Lower-casing stands for case folding, and compatibility forms aren't normalised:
     for plain texts (``functions.udf.search_tokens`` sees to the others).
     """
-    base = F.regexp_extract_all(F.lower(text_of(c)), F.lit(TERM), F.lit(1))
+    whole = F.lower(text_of(c))
+    base = F.regexp_extract_all(whole, F.lit(TERM), F.lit(1))
+    none = F.array().cast("array<string>")
 
     def spread(t: Column) -> Column:
         size = F.length(t)
 
         def runs(n: int) -> Column:
-            return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(t, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+            return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(t, i, F.lit(n)))).otherwise(none)
 
-        ideographs = t.rlike(r"^[\x{3400}-\x{9FFF}]+$")
-        compound = t.rlike("[-./]")
-        more = F.when(ideographs, F.concat(runs(2), runs(3))).when(compound, F.filter(F.split(t, "[-./]"), lambda p: p != "")).otherwise(F.array().cast("array<string>"))
-        return F.concat(F.array(t), more)
+        ideographs = (t >= "\u3400") & t.rlike(r"^[\x{3400}-\x{9FFF}]+$")  # few words get as far as the pattern
+        compound = F.contains(t, F.lit("-")) | F.contains(t, F.lit(".")) | F.contains(t, F.lit("/"))
+        return F.when(ideographs, F.concat(F.array(t), runs(2), runs(3))).when(compound, F.concat(F.array(t), F.split(t, "[-./]"))).otherwise(F.array(t))
 
-    return F.flatten(F.transform(base, spread))
+    # most texts have words only
+    some = whole.rlike(r"[\p{L}\p{N}][-./][\p{L}\p{N}]|[\x{3400}-\x{9FFF}]")
+    return F.when(some, F.flatten(F.transform(base, spread))).otherwise(base)
 
 
 def short_hash(c: Column | str) -> Column:

@@ -1,21 +1,26 @@
 """Splitting documents into token-budgeted chunks.
 
 Splitting is a recursion over separators with overlapping merges, which column
-expressions can't give; it runs in Arrow-batched UDFs, one document at a time.
-Routing, numbering, ids and quality are column expressions.
+expressions can't give; it runs in Arrow batches, one document at a time, and so
+do the choice of route and the numbering, which need the same counts. Quality and
+the checks of chunk tables are column expressions.
 """
 
 from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docweave.functions import text
+from docweave.operators.common import spread
 
 #: From coarse to fine; the last cuts between characters.
 SEPARATORS = ("\n\n", "\n", ". ", "; ", ", ", " ", "")
@@ -96,8 +101,8 @@ def prefix(title: str, section: str) -> str:
 SPARE, LEAST, LAP_SHARE, FINER = 8, 32, 5, ((1, 0), (2, 24), (3, 16), (4, 12))
 
 
-def split_to_limit(body: str, title: str, section: str, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> list[str]:
-    """Pieces of body that stay within limit with their prefix.
+def pieces_within(body: str, title: str, section: str, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> list[tuple[str, int]]:
+    """Pieces of body that stay within limit with their prefix, each with the length of both.
 
     The prefix is measured once and what it leaves of the limit is the room of each
     piece. A body without room is split at a budget somewhat below the room; a piece
@@ -107,13 +112,15 @@ def split_to_limit(body: str, title: str, section: str, size: int = SIZE, overla
     room, budget = limit - taken, min(size, max(LEAST, limit - taken - SPARE))
     lap = min(overlap, budget // LAP_SHARE)
     sizes = [budget, *(max(budget // part, least) for part, least in FINER)]
-    out: list[str] = []
+    out: list[tuple[str, int]] = []
     waiting = [(" ".join((body or "").split()), 0)]  # the next piece last
     while waiting:
         piece, level = waiting.pop()
-        if level == len(sizes) or not piece or length(piece) <= room:
-            if piece:
-                out.append(piece)
+        if not piece:
+            continue
+        n = length(piece)
+        if n <= room or level == len(sizes):
+            out.append((piece, taken + n))
             continue
         step = sizes[level]
         parts = split_text(piece, step, min(lap, step // LAP_SHARE), length)
@@ -121,6 +128,10 @@ def split_to_limit(body: str, title: str, section: str, size: int = SIZE, overla
     return out
 
 
+def split_to_limit(body: str, title: str, section: str, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> list[str]:
+    return [p for p, _ in pieces_within(body, title, section, size, overlap, limit, length)]
+
+
 def splitter(size: int = SIZE, overlap: int = OVERLAP, length: Callable[[str], int] = approx_len, keep_under: int = 0):
     """UDF text -> pieces; texts of at most keep_under tokens stay whole (0: none do)."""
 
@@ -133,7 +144,7 @@ def splitter(size: int = SIZE, overlap: int = OVERLAP, length: Callable[[str], i
 
         return texts.map(one)
 
-    return split
+    return split.asNondeterministic()  # else it runs once more in a filter that explode adds
 
 
 def split_or_keep(size: int = SIZE, overlap: int = OVERLAP, keep_under: int = LIMIT, length: Callable[[str], int] = approx_len):
@@ -157,6 +168,31 @@ def split_or_keep(size: int = SIZE, overlap: int = OVERLAP, keep_under: int = LI
 _SECTION = "array<struct<section_index:int,section_title:string,section_title_norm:string,section_text:string>>"
 
 
+#: What a chunk has besides its document's columns.
+_CHUNK = "chunk_id string, text string, chunk_index int, total_chunks int, token_count int, section_title string, section_title_norm string, split_strategy string, title_missing boolean, body_missing boolean, chunk_char_len int, section_index int, section_chunk_index int"
+#: Chunks of an output batch.
+_ROWS = 4096
+
+
+def chunks_of(doc_id: str, title: str | None, body: str | None, sections: list[dict] | None, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> list[tuple]:
+    """The chunks of a document in order, each with the values of _CHUNK."""
+    own, whole = (title or "").strip(), (body or "").strip()
+    named = title if own else f"[Missing title: {doc_id}]"
+    full = "\n\n".join(filter(None, (own, whole)))
+    some = [s for s in sections or () if (s["section_text"] or "").strip()]
+    if length(full) <= limit:
+        route, parts = "whole_document_under_512", [{"section_index": 0, "section_title": "whole_document", "section_title_norm": "whole_document", "section_text": body}]
+    elif some:
+        route, parts = "semantic_section", some
+    else:
+        route, parts = "recursive_fallback_no_section", [{"section_index": 0, "section_title": "full_text", "section_title_norm": "full_text", "section_text": full}]
+    found = [(s, k, p, n) for s in parts for k, (p, n) in enumerate(pieces_within(s["section_text"] or "", named, s["section_title"] or "", size, overlap, limit, length))]
+    return [
+        (f"{doc_id}::chunk_{i:05d}", prefix(named, s["section_title"] or "") + p, i, len(found), n, s["section_title"], s["section_title_norm"], route, not own, not whole, len(p), s["section_index"], k)
+        for i, (s, k, p, n) in enumerate(found)
+    ]
+
+
 def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, limit: int = LIMIT, length: Callable[[str], int] = approx_len) -> DataFrame:
     """One row for each chunk.
 
@@ -167,52 +203,38 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, l
     so is one whose sections give nothing.
 
     All chunks of a row are made together and numbered as they come, so there is no
-    shuffle, and neither body nor sections are carried beyond the split.
+    shuffle, and neither body nor sections are carried beyond the split. A document
+    without text has no chunk.
     """
-    tokens = text.approx_token_len(text.join_parts(F.col("title"), F.col("body"))) if length is approx_len else None
-    if tokens is None:
-        count = F.pandas_udf(lambda s: s.map(lambda x: length(x or "")), "int")
-        tokens = count(text.join_parts(F.col("title"), F.col("body")))
-    named = F.when(~text.is_empty("title"), F.col("title")).otherwise(F.concat(F.lit("[Missing title: "), F.col("doc_id"), F.lit("]")))
-    some = F.exists(F.coalesce(F.col("sections").cast(_SECTION), F.array().cast(_SECTION)), lambda s: ~text.is_empty(s.section_text))  # else splitting them gives nothing
-    base = docs.withColumns({"_title": named, "_route": text.route(tokens, some, limit)})
-
-    def section(title: str, body: Column) -> Column:
-        return F.array(F.struct(F.lit(0).alias("section_index"), F.lit(title).alias("section_title"), F.lit(title).alias("section_title_norm"), body.alias("section_text")))
-
-    whole = section("whole_document", text.text_of("body"))
-    full = section("full_text", text.join_parts(F.col("title"), F.col("body")))
-    wanted = F.when(F.col("_route") == "whole_document_under_512", whole).when(F.col("_route") == "semantic_section", F.col("sections").cast(_SECTION)).otherwise(full)
-    heads = F.transform("_wanted", lambda s: F.struct(s["section_index"].alias("index"), s["section_title"].alias("title"), s["section_title_norm"].alias("norm")))
-    names, bodies = F.col("_wanted.section_title"), F.col("_wanted.section_text")
     kept = [c for c in docs.columns if c not in ("body", "sections", "abstract")]
-    pieces = pieces_of(size, overlap, limit, length)("_title", names, bodies)
-    rows = base.withColumn("_wanted", wanted).select(*kept, "_title", "_route", heads.alias("_heads"), text.is_empty("title").alias("_bare"), text.is_empty("body").alias("_no_body"), pieces.alias("_p"))
-    rows = rows.select("*", F.size("_p").alias("total_chunks"), F.posexplode("_p").alias("chunk_index", "_c"))
-    head, own = F.get("_heads", F.col("_c.at")), F.col("_c.text")
-    at_front = F.btrim(F.concat(F.lit("Title: "), F.col("_title"), F.lit("\nSection: "), F.coalesce(head["title"], F.lit("")), F.lit("\nText:\n"), own))
-    return rows.select(
-        F.format_string("%s::chunk_%05d", "doc_id", "chunk_index").alias("chunk_id"), at_front.alias("text"), *kept, "chunk_index", "total_chunks",
-        text.approx_token_len(at_front).alias("token_count"), head["title"].alias("section_title"), head["norm"].alias("section_title_norm"),
-        F.col("_route").alias("split_strategy"), F.col("_bare").alias("title_missing"), F.col("_no_body").alias("body_missing"),
-        F.length(own).alias("chunk_char_len"), head["index"].alias("section_index"), F.col("_c.k").alias("section_chunk_index"),
-    )
-
-
-def pieces_of(size: int, overlap: int, limit: int, length: Callable[[str], int]):
-    """UDF (title, section titles, section texts) -> all pieces of a document: the section's place, the piece's in it, its text."""
-
-    @F.pandas_udf("array<struct<at:int,k:int,text:string>>")
-    def split(title: pd.Series, names: pd.Series, bodies: pd.Series) -> pd.Series:
-        out = []
-        for t, ns, bs in zip(title, names, bodies, strict=True):
-            found: list[dict] = []
-            for at, (name, body) in enumerate(zip(ns, bs, strict=True)):
-                found += [{"at": at, "k": k, "text": p} for k, p in enumerate(split_to_limit(body or "", t or "", name or "", size, overlap, limit, length))]
-            out.append(found)
-        return pd.Series(out, dtype=object)
-
-    return split
+    names = [n.split()[0] for n in _CHUNK.split(", ")]
+    asked = docs.select(*kept, F.col("doc_id").cast("string").alias("_id"), F.col("title").alias("_title"), "body", F.col("sections").cast(_SECTION).alias("sections"))
+    carried = docs.select(*kept).schema
+    schema = T.StructType([*carried.fields, *T.StructType.fromDDL(_CHUNK).fields])
+    made = to_arrow_schema(T.StructType.fromDDL(_CHUNK))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for i, (doc_id, title, body, sections) in enumerate(zip(*(c.to_pylist() for c in batch.columns[len(kept) :]), strict=True)):
+                found = chunks_of(doc_id, title, body, sections, size, overlap, limit, length)
+                at += [i] * len(found)
+                rows += found
+                if rows and (len(rows) >= _ROWS or i == batch.num_rows - 1):
+                    yield _with_chunks(batch, len(kept), at, rows, made)
+                    at, rows = [], []
+            if rows:
+                yield _with_chunks(batch, len(kept), at, rows, made)
+
+    out = spread(asked).mapInArrow(run, schema)
+    return out.select("chunk_id", "text", *[c for c in kept if c not in names], *[n for n in names if n not in ("chunk_id", "text")])
+
+
+def _with_chunks(batch: pa.RecordBatch, kept: int, at: list[int], rows: list[tuple], made: pa.Schema) -> pa.RecordBatch:
+    """Chunk rows beside the carried columns of their documents."""
+    index = pa.array(at, pa.int64())
+    columns = [c.take(index) for c in batch.columns[:kept]] + [pa.array(values, f.type) for values, f in zip(zip(*rows, strict=True), made, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:kept], *made.names])
 
 
 def with_front_section(docs: DataFrame) -> DataFrame:
@@ -240,7 +262,7 @@ def exclusion_reason(parse_error: Column, duplicate: Column, title: Column, abst
 
 def compare_strategies(docs: DataFrame, text_col: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
     """Chunks and tokens of three ways to split: whole, sliding, and by paragraph."""
-    split = splitter(size, overlap)
+    split, docs = splitter(size, overlap), spread(docs.select(text_col))
     whole = docs.select(F.lit("whole").alias("strategy"), F.col(text_col).alias("chunk"))
     sliding = docs.select(F.lit("sliding").alias("strategy"), F.explode(split(F.col(text_col))).alias("chunk"))
     parts = docs.select(F.explode(F.filter(F.split(text.text_of(text_col), "\n"), lambda p: F.btrim(p) != "")).alias("p"))

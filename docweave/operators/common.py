@@ -32,6 +32,21 @@ def row_index(df: DataFrame, *order: str, name: str = "doc_idx") -> DataFrame:
     return rows.join(F.broadcast(offsets), "at").select("row.*", (F.col("offset") + F.col("k")).alias(name))
 
 
+#: Input of a task below which a table is dealt out anew before costly work.
+TASK_BYTES = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out evenly to all cores, if it is so small that a file or two hold it; a larger one as it is.
+
+    A Parquet row group is read by one task however many cores there are. The extra
+    shuffle is of TASK_BYTES a core at most; a table with more has tasks enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * TASK_BYTES else df
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int | None, rank: str = "rank") -> DataFrame:
     """df with its rank in each group; ranks up to k (Spark prunes each partition before the shuffle). k None: all; below 1: none."""
     out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

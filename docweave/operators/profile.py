@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docweave.functions import numeric, text
-from docweave.operators.common import top_per_group
+from docweave.operators.common import spread, top_per_group
 
 
 def missing_rates(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -68,7 +68,7 @@ def group_summary(df: DataFrame, group: str, column: str, order: list[str]) -> D
 
 def duplicate_rows(df: DataFrame, key: Column) -> DataFrame:
     """One row: rows whose key occurs more than once, and keys that do; empty keys don't count."""
-    counts = df.select(key.alias("k")).filter(F.coalesce("k", F.lit("")) != "").groupBy("k").agg(F.count("*").alias("n"))
+    counts = spread(df).select(key.alias("k")).filter(F.coalesce("k", F.lit("")) != "").groupBy("k").agg(F.count("*").alias("n"))
     return counts.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
 
 
@@ -89,13 +89,13 @@ def first_of_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 def top_terms(df: DataFrame, terms: Column, limit: int = 80, term: str = "term") -> DataFrame:
     """The most frequent terms; equal counts in the order of the terms. Counts are combined before the shuffle."""
-    return df.select(F.explode(terms).alias(term)).groupBy(term).agg(F.count("*").alias("count")).orderBy(F.desc("count"), term).limit(limit)
+    return spread(df).select(F.explode(terms).alias(term)).groupBy(term).agg(F.count("*").alias("count")).orderBy(F.desc("count"), term).limit(limit)
 
 
 def top_ngrams(df: DataFrame, tokens: Column, n: int, limit: int = 80, stopwords: tuple[str, ...] = text.STOPWORDS, phrases: tuple[str, ...] = ()) -> DataFrame:
     """The most frequent runs of n tokens without stop words, noisy phrases left out. Stop words are marked once for each token, not for each run."""
     marked = F.transform(tokens, lambda w: F.when(w.isin(*stopwords), F.lit(None)).otherwise(w))
-    rows = df.select(marked.alias("t")).filter(F.size("t") >= n).select("t", F.explode(F.sequence(F.lit(1), F.size("t") - (n - 1))).alias("i"))
+    rows = spread(df).select(marked.alias("t")).filter(F.size("t") >= n).select("t", F.explode(F.sequence(F.lit(1), F.size("t") - (n - 1))).alias("i"))
     words = [F.element_at("t", F.col("i") + k) for k in range(n)]
     grams = rows.select(*[w.alias(f"w{k}") for k, w in enumerate(words)]).dropna()
     counts = grams.groupBy(F.concat_ws(" ", *grams.columns).alias("term")).agg(F.count("*").alias("count"))
