@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,16 +55,48 @@ class Bm25Index:
         drop_written(self.postings)
 
 
+def _suited(df: DataFrame, column: str, tokenize):
+    """The default tokens without a Python stage, where a look at the texts shows that none needs it."""
+    plain = tokenize is udf.search_tokens and df.filter(udf.needs_exact(column)).isEmpty()
+    return udf.plain_tokens if plain else tokenize
+
+
+def _counted(store: DataFrame, text_col: str) -> DataFrame:
+    """(term, doc_idx, tf, dl) with the default tokens: a document's terms are counted where its text is, so no token is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, rows, tf, dl = [], [], [], []
+            for number, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = Counter(udf.tokenize_exact(body))
+                terms += found.keys()
+                tf += found.values()
+                rows += [number] * len(found)
+                dl += [found.total()] * len(found)
+                if len(terms) >= _ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(rows, pa.int64()), pa.array(tf, pa.int64()), pa.array(dl, pa.int32())], names=["term", "doc_idx", "tf", "dl"])
+                    terms, rows, tf, dl = [], [], [], []
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(rows, pa.int64()), pa.array(tf, pa.int64()), pa.array(dl, pa.int32())], names=["term", "doc_idx", "tf", "dl"])
+
+    return store.select("doc_idx", F.col(text_col).cast("string")).mapInArrow(run, "term string, doc_idx bigint, tf bigint, dl int")
+
+
+#: Postings of an output batch.
+_ROWS = 65_536
+
+
 def build(chunks: DataFrame, order: list[str], text_col: str = "text", k1: float = K1, b: float = B, tokenize=udf.search_tokens) -> Bm25Index:
     """Index chunks; documents are numbered in the given order.
 
     Texts are sorted, numbered and cut into tokens once: the store and the postings
     are written to the shared folder, and the rest is counted from the postings.
-    Term counts are combined in each task before the shuffle.
     """
     store = row_index(chunks, *order)
-    tokens = store.select("doc_idx", tokenize(F.col(text_col)).alias("t"))
-    postings = tokens.select("doc_idx", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("doc_idx", "dl", "term").agg(F.count("*").alias("tf"))
+    if tokenize is udf.search_tokens:
+        postings = _counted(store, text_col)
+    else:
+        tokens = store.select("doc_idx", tokenize(F.col(text_col)).alias("t"))
+        postings = tokens.select("doc_idx", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("doc_idx", "dl", "term").agg(F.count("*").alias("tf"))
     postings = cut_lineage(postings.select("term", "doc_idx", "tf", "dl"), "postings")
     terms = postings.groupBy("term").agg(F.count("*").alias("df"))
     n = store.agg(F.count("*").alias("n"))  # chunks without tokens count too
@@ -80,7 +116,7 @@ def scores(index: Bm25Index, queries: DataFrame, query_id: str = "query_id", que
     Terms of the queries meet the postings in an equi-join (Spark broadcasts them
     if they are small); idf is joined to the query terms first.
     """
-    wanted = queries.select(query_id, F.explode(tokenize(F.col(query))).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("qtf"))
+    wanted = queries.select(query_id, F.explode(_suited(queries, query, tokenize)(F.col(query))).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("qtf"))
     n = F.broadcast(index.stats)  # one row
     weighted = wanted.join(index.terms, "term").crossJoin(n).select(query_id, "term", "avgdl", (F.col("qtf") * _idf(F.col("n"), F.col("df"))).alias("weight"))
     tf, dl = F.col("tf"), F.col("dl")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import udf
-from docweave.operators.common import top_per_group
+from docweave.operators.common import spread, top_per_group
 from docweave.operators.filters import compile_where
 
 #: Values of all query vectors that are sent to every task; more are worked off in groups.
@@ -116,7 +116,7 @@ def self_similarity(corpus: DataFrame, probes: DataFrame, id_col: str, doc_col:
 
 def embed(df: DataFrame, text_col: str, backend: str = "hash", output: str = "embedding", **options) -> DataFrame:
     """df with an embedding by a registered back end, computed in Arrow batches."""
-    return df.withColumn(output, udf.EMBEDDINGS[backend](**options)(F.col(text_col)))
+    return spread(df).withColumn(output, udf.EMBEDDINGS[backend](**options)(F.col(text_col)))
 
 
 def embed_queries(df: DataFrame, text_col: str, backend: str = "hash", output: str = "embedding", **options) -> DataFrame:
