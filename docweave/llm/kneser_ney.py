@@ -24,14 +24,15 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, release_memory, replace_file, shared_folder
+from docweave.llm.common import bounded_batches, cut_lineage, drop_written, release_memory, replace_file, shared_folder
 from docweave.llm.hashing import mix, random_codes, span_hashes
 
 #: Tokens that a task counts before it sends blocks.
@@ -39,6 +40,8 @@ FLUSH = 3_000_000
 #: Bytes of text for each bucket, and the fewest bits of a bucket number.
 BUCKET_BYTES, LEAST_BITS = 16 << 20, 6
 HOT = 512
+#: Bits of a bucket number up to which blocks go to their buckets at once.
+DENSE_BITS = 13
 _U = np.uint64
 
 
@@ -130,6 +133,8 @@ def pair_keys(first: np.ndarray, second: np.ndarray, hot: np.ndarray, bits: int)
 
 
 _BLOCKS = "bucket int, block binary"
+#: What is summed over the buckets of words: pairs, words with 1 to 4 different words before them, and with three or more.
+_SUMS = ("pairs", "n1", "n2", "n3", "n4", "more")
 
 
 def _blocks(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -163,11 +168,64 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else np.uint64)
 
 
+def _word_rows(keys: np.ndarray, n: np.ndarray, bits: int) -> pa.RecordBatch:
+    return _blocks([(b, pack(keys[lo:hi], _small(n[lo:hi]))) for b, lo, hi in _cut(keys, bits)])
+
+
+def _pair_rows(first: np.ndarray, second: np.ndarray, n: np.ndarray, hot: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Blocks of pairs, sorted by first word, by bucket: first words, how many pairs each has, second words, counts."""
+    bucket = (pair_keys(first, second, hot, bits) >> _U(64 - bits)).astype(np.uint32 if bits > 16 else np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    first, second, n, bucket = first[order], second[order], n[order], bucket[order]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(0, np.int64)
+    rows = []
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        f = first[lo:hi]
+        run = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1], [True]]))
+        rows.append((int(bucket[lo]), pack(f[run[:-1]], np.diff(run).astype(np.uint32), second[lo:hi], _small(n[lo:hi]))))
+    return _blocks(rows)
+
+
+def _pairs_of(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, second, n) of blocks, sorted, each pair once."""
+    first, second, n = (np.concatenate(x) for x in ([np.repeat(p[0], p[1]) for p in parts], [p[2] for p in parts], [p[3].astype(np.int64) for p in parts]))
+    order = np.lexsort((second, first))
+    first, second, n = first[order], second[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+    return first[at], second[at], np.add.reduceat(n, at)
+
+
+def _denser(blocks: DataFrame, bits: int, merged: Callable[[list[list[np.ndarray]]], pa.RecordBatch]) -> DataFrame:
+    """Blocks as they are, or, where there are so many buckets that a task's blocks would hold few tokens each, merged by groups of buckets first.
+
+    A task of this extra stage sees few buckets, so its blocks are full again, and
+    what the second shuffle carries is counts and not a header for each token.
+    """
+    if bits <= DENSE_BITS:
+        return blocks
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for batch in batches:
+            for x in batch.column(1):
+                parts.append(unpack(x.as_py()))
+                n += len(parts[-1][-1])
+                if n >= FLUSH:
+                    yield merged(parts)
+                    parts, n = [], 0
+        if parts:
+            yield merged(parts)
+        release_memory()
+
+    group = F.shiftright("bucket", bits - DENSE_BITS)
+    return blocks.repartition(1 << DENSE_BITS, group).sortWithinPartitions(group).mapInArrow(run, _BLOCKS)
+
+
 def train(df: DataFrame, text_col: str = "text") -> dict:
     """Count the texts of df and write the model to the shared folder; returns its description, which is small.
 
     A null text counts as an empty one: a single end token. An empty df gives a
-    model that knows nothing.
+    model that knows nothing. Collected are sums and at most HOT frequent words.
     """
     spark = df.sparkSession
     bounded_batches(spark)
@@ -178,8 +236,10 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for stream, _ in _streams(batches):
-            keys, n = counted(stream)
-            yield _blocks([(b, pack(keys[lo:hi], _small(n[lo:hi]))) for b, lo, hi in _cut(keys, bits)])
+            yield _word_rows(*counted(stream), bits)
+
+    def more_words(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        return _word_rows(*summed(*(np.concatenate(x) for x in zip(*parts, strict=True))), bits)
 
     def merge_words(rows: pa.Table) -> pa.Table:
         parts = [unpack(x.as_py()) for x in rows.column("block")]
@@ -190,9 +250,12 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
         top = np.argsort(-n, kind="stable")[:HOT]
         return pa.table({"tokens": [int(n.sum())], "words": [len(keys)], "top": [keys[top].view(np.int64).tolist()], "top_n": [n[top].tolist()]}, schema=pa.schema([("tokens", pa.int64()), ("words", pa.int64()), ("top", pa.list_(pa.int64())), ("top_n", pa.list_(pa.int64()))]))
 
-    found = texts.mapInArrow(count_words, _BLOCKS).groupBy("bucket").applyInArrow(merge_words, "tokens bigint, words bigint, top array<bigint>, top_n array<bigint>").collect()
-    total, words = sum(r.tokens for r in found), sum(r.words for r in found)
-    hot = np.array(sorted(k % 2**64 for r in found for k, n in zip(r.top, r.top_n, strict=True) if n * HOT > total), dtype=np.uint64)
+    counted_words = _denser(texts.mapInArrow(count_words, _BLOCKS), bits, more_words)
+    found = cut_lineage(counted_words.groupBy("bucket").applyInArrow(merge_words, "tokens bigint, words bigint, top array<bigint>, top_n array<bigint>"), "words")
+    total, words = found.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    frequent = found.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).filter(F.col("t.top_n") * HOT > total).select("t.top").collect()
+    hot = np.array(sorted(r.top % 2**64 for r in frequent), dtype=np.uint64)
+    drop_written(found)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for stream, cuts in _streams(batches):
@@ -202,19 +265,12 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
             known = with_end(keys)
             a, b = (np.searchsorted(known, x).astype(np.uint64) for x in (before, stream))
             pair, n = counted((a << _U(32)) | b)
-            first, second = known[pair >> _U(32)], known[pair & _U(0xFFFFFFFF)]
-            bucket = (pair_keys(first, second, hot, bits) >> _U(64 - bits)).astype(np.uint32 if bits > 16 else np.uint16)
-            order = np.argsort(bucket, kind="stable")
-            first, second, n, bucket = first[order], second[order], n[order], bucket[order]
-            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            rows = []
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                f = first[lo:hi]
-                run = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1], [True]]))
-                rows.append((int(bucket[lo]), pack(f[run[:-1]], np.diff(run).astype(np.uint32), second[lo:hi], _small(n[lo:hi]))))
-            yield _blocks(rows)
+            yield _pair_rows(known[pair >> _U(32)], known[pair & _U(0xFFFFFFFF)], n, hot, bits)
         release_memory()
 
+    def more_pairs(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        return _pair_rows(*_pairs_of(parts), hot, bits)
+
     def merge_pairs(rows: pa.Table) -> pa.Table:
         number = rows.column("bucket")[0].as_py()
         parts = [unpack(x.as_py()) for x in rows.column("block")]
@@ -246,31 +302,37 @@ def train(df: DataFrame, text_col: str = "text") -> dict:
         out = np.zeros(len(known), np.int64)
         out[np.searchsorted(known, keys)] = n
         save(f"{folder}/word-{number}.before.npy", _small(out))
-        return pa.table({"pairs": [int(n.sum())], "times": [[int((out == k).sum()) for k in (1, 2, 3, 4)]], "more": [int((out >= 3).sum())], "bucket": [number]}, schema=pa.schema([("pairs", pa.int64()), ("times", pa.list_(pa.int64())), ("more", pa.int64()), ("bucket", pa.int32())]))
-
-    before = texts.mapInArrow(count_pairs, _BLOCKS).groupBy("bucket").applyInArrow(merge_pairs, _BLOCKS)
-    before = before.groupBy("bucket").applyInArrow(merge_before, "pairs bigint, times array<bigint>, more bigint, bucket int").collect()
-    times, contexts = np.zeros(4, np.int64), {}
-    import os
-
-    for name in os.listdir(folder):
-        if name.endswith(".json"):
-            with open(f"{folder}/{name}") as f:
-                meta = json.load(f)
-            times += meta["times"]
-            for key, *row in meta["hot"]:
-                contexts[key] = np.array(row) + contexts.get(key, 0)
+        return pa.table([pa.array([v], pa.int64()) for v in (n.sum(), *((out == k).sum() for k in (1, 2, 3, 4)), (out >= 3).sum())], names=_SUMS)
+
+    def notes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What merging the pairs of buckets noted: a row of the numbers of pairs by count, and a row for each hot context."""
+        for batch in batches:
+            rows = []
+            for number in batch.column(0).to_pylist():
+                if os.path.exists(f"{folder}/pair-{number}.json"):  # not every bucket has pairs
+                    with open(f"{folder}/pair-{number}.json") as f:
+                        meta = json.load(f)
+                    rows += [(None, *meta["times"]), *((key - (key >> 63 << 64), *row) for key, *row in meta["hot"])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5, names=["key", "a", "b", "c", "d"])
+
+    counted_pairs = _denser(texts.mapInArrow(count_pairs, _BLOCKS), bits, more_pairs)
+    before = counted_pairs.groupBy("bucket").applyInArrow(merge_pairs, _BLOCKS)
+    before = before.groupBy("bucket").applyInArrow(merge_before, ", ".join(f"{c} bigint" for c in _SUMS))
+    pairs, *word_times, more = before.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in _SUMS]).first()
+    noted = spark.range(0, 1 << bits).mapInArrow(notes, "key bigint, a bigint, b bigint, c bigint, d bigint")
+    sums = {r.key: list(r)[1:] for r in noted.groupBy("key").agg(*[F.sum(c) for c in "abcd"]).collect()}  # a row for each hot context, and one
+    times, contexts = sums.pop(None, [0] * 4), {key % 2**64: row for key, row in sums.items()}
     return {
         "folder": folder,
         "bits": bits,
         "tokens": total,
         "words": words,
-        "pairs": sum(r.pairs for r in before),
-        "pair_discounts": discounts(times.tolist()),
-        "word_discounts": discounts(np.sum([r.times for r in before], axis=0).tolist() if before else [0] * 4),
-        "word_times": [sum(r.times[0] for r in before), sum(r.times[1] for r in before), sum(r.more for r in before)],
+        "pairs": pairs,
+        "pair_discounts": discounts(times),
+        "word_discounts": discounts(word_times),
+        "word_times": [*word_times[:2], more],
         "hot": hot.tolist(),
-        "hot_contexts": [contexts.get(k, np.zeros(4, np.int64)).tolist() for k in hot.tolist()],
+        "hot_contexts": [contexts.get(k, [0] * 4) for k in hot.tolist()],
     }
 
 

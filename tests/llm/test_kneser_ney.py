@@ -46,9 +46,10 @@ class Brute:
         return len(w), sum(self.one[x] > 0 for x in w), base, sum(math.log10(self.p(a, x)) for a, x in zip(["</s>", *w], w, strict=False))
 
 
-@pytest.mark.parametrize("flush", [7, kn.FLUSH])
-def test_scores_equal_brute_force(spark, monkeypatch, flush):
+@pytest.mark.parametrize("flush,dense", [(7, kn.DENSE_BITS), (7, 3), (kn.FLUSH, 2), (kn.FLUSH, kn.DENSE_BITS)])
+def test_scores_equal_brute_force(spark, monkeypatch, flush, dense):
     monkeypatch.setattr(kn, "FLUSH", flush)
+    monkeypatch.setattr(kn, "DENSE_BITS", dense)
     train = [d for d in DOCS if d[0] is None or d[0] not in (3, 6)]
     about = kn.train(documents(spark, train))
     brute = Brute([d[1] for d in train])
