@@ -464,7 +464,13 @@ def stratified_sample(spark, sf_dir):
     return profile.stratified_sample(d, "length_group", 5, "doc_id").select("doc_id", "length_group")
 
 
-@query()
+@query(r"""WITH b AS (SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]+')) AS words, list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: length(trim(x)) >= 20) AS s,
+ len(regexp_extract_all(text, '(?i)\bp\s*[<=>]\s*0?\.\d+|\b95%\s*CI\b|\bconfidence intervals?\b|\bodds ratios?\b|\brelative risks?\b|\d+(?:\.\d+)?%')) AS statistic_mentions,
+ list_filter(regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', '_', 'g'), '\b[A-Z][A-Z0-9\-]{1,12}\b'), lambda w: NOT list_contains([""" + ",".join(f"'{w}'" for w in text.NOISY_ABBREVIATIONS) + r"""], w)) AS terms FROM documents),
+c AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(terms) AS term FROM b) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, term) AS r FROM c),
+t AS (SELECT doc_id, sum(n)::BIGINT AS mentions, string_agg(term || '(' || n || ')', '; ' ORDER BY r) AS listed FROM r WHERE r <= 10 GROUP BY 1)
+SELECT b.doc_id, CAST(words AS INTEGER) AS words, CAST(len(s) AS INTEGER) AS sentences, CASE WHEN len(s) = 0 THEN 0.0 ELSE round(list_sum(list_transform(s, lambda x: len(regexp_extract_all(x, '[A-Za-z]+')))) / len(s), 2) END AS mean_sentence_words, coalesce(mentions, 0) AS mentions,
+ round(coalesce(mentions, 0) / greatest(1, words) * 1000, 2) AS per_1000_words, CAST(statistic_mentions AS INTEGER) AS statistic_mentions, coalesce(listed, '') AS top_abbreviations FROM b LEFT JOIN t USING (doc_id)""")
 def text_density(spark, sf_dir):
     return profile.density(table(spark, sf_dir, "documents"), "text", "doc_id")
 
