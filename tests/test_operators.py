@@ -3,13 +3,17 @@ import random
 import re
 from dataclasses import dataclass
 
+import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from docweave.functions import udf
 from docweave.operators import bm25, chunking, evaluation, filters, fusion, profile, ranking, understanding, vectors
 from docweave.operators.common import row_index
-from docweave.plans.retrieval import Retrieval
+from docweave.operators.vector_index import VectorIndex
+from docweave.plans.retrieval import Retrieval, smoke
 
 ROWS = [("a", "insulin and glucose in diabetes", "x"), ("b", "insulin insulin therapy", "x"), ("c", "lung cancer", "y"), ("d", "", "y"), ("e", None, "z")]
 
@@ -128,6 +132,45 @@ def test_row_index(spark):
     assert [r.doc_idx for r in rows] == list(range(1000)) and [r.k for r in rows] == sorted(r.k for r in rows)
 
 
+@pytest.mark.parametrize("adaptive,advised", [("true", "1k"), ("true", "64m"), ("false", "1k")])
+def test_row_index_is_the_same_whatever_reads_it(spark, adaptive, advised):
+    keys = {"spark.sql.adaptive.enabled": adaptive, "spark.sql.adaptive.advisoryPartitionSizeInBytes": advised, "spark.sql.adaptive.coalescePartitions.minPartitionSize": advised}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(20000).select((F.pmod(F.xxhash64("id"), F.lit(500))).alias("k"), "id", F.repeat(F.lit("text "), F.col("id").cast("int") % 40).alias("text"), F.lit(1).alias("part"))
+        made = row_index(df, "k")  # the order has ties
+        narrow, wide = made.select("id", "doc_idx").collect(), made.collect()
+        assert len(narrow) == 20000 and {r.doc_idx for r in narrow} == set(range(20000))
+        assert {(r.id, r.doc_idx) for r in narrow} == {(r.id, r.doc_idx) for r in wide}
+        assert [r.k for r in sorted(wide, key=lambda r: r.doc_idx)] == sorted(r.k for r in wide)
+        index = bm25.build(df.select("id", "text"), ["id"])
+        assert index.stats.first().n == 20000 and index.postings.join(index.store, "doc_idx").filter("tf <> (length(text) / 5)").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_row_index_refuses_a_name_that_is_taken(spark):
+    with pytest.raises(ValueError):
+        row_index(spark.range(3).withColumn("doc_idx", F.lit(1)), "id")
+
+
+def test_knn_equals_a_full_sort_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SCORES", 50)
+    monkeypatch.setattr(vectors, "QUERY_VALUES", 12)
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    q = df.filter("id % 30 = 0").select(F.col("id").alias("query_id"), "embedding")
+    got = {(r.query_id, r["rank"]): r.id for r in vectors.knn(df, q, 7).collect()}
+    unit = lambda v: [x / (sum(y * y for y in v) ** 0.5 or 1) for x in v]
+    for a, v in rows[::30]:
+        best = sorted((-round(sum(x * y for x, y in zip(unit(v), unit(w), strict=True)), 9), b) for b, w in rows)[:7]
+        assert [got[a, k] for k in range(1, 8)] == [b for _, b in best]
+
+
 def test_knn(spark):
     rows = [(f"v{i}", [math.cos(i / 10), math.sin(i / 10)]) for i in range(30)] + [("null", None), ("zero", [0.0, 0.0]), ("longer", [1.0, 0.0, 0.0])]
     df = spark.createDataFrame(rows, "id string, embedding array<float>").withColumn("lang", F.lit("en"))
@@ -266,3 +309,75 @@ def test_the_whole_pipeline(spark):
         assert out[0].document_key == "d0" and {r.query_id for r in out} == {"q1"} and [r.final_rank for r in out] == list(range(1, len(out) + 1))
     with pytest.raises(ValueError):
         p.run(q, final_top_k=60)
+
+
+def small_retrieval(spark):
+    rows = [(f"c{i}", f"d{i // 2}", t, "PLoS ONE", str(2000 + i)) for i, t in enumerate(["metformin lowers glucose", "metformin trial", "aspirin and bleeding", "insulin therapy"])]
+    df = vectors.embed(spark.createDataFrame(rows, "chunk_id string, doc_id string, text string, journal string, pub_year string"), "text", dim=64)
+    return Retrieval(df, bm25.build(df.drop("embedding"), ["chunk_id"]), 2025, embedding_options={"dim": 64}), spark.createDataFrame([("q1", "metformin?"), ("q2", " ")], "query_id string, query string")
+
+
+def test_a_path_that_fails_is_left_out_with_a_warning(spark):
+    p, q = small_retrieval(spark)
+    p.embedding = "no such back end"
+    found = p.answer(q)
+    assert found.retrieved.vector_result_count == 0 < found.retrieved.keyword_result_count and found.warnings[0].startswith("vector path failed: KeyError")
+    assert {r.document_key for r in found.documents.collect()} == {"d0"} and found.retrieved.weights == {"vector": 0.65, "keyword": 0.35}
+    with pytest.raises(KeyError):
+        p.answer(q, strict=True)
+
+
+def test_the_contract_of_rerankers(spark):
+    p, q = small_retrieval(spark)
+
+    @F.pandas_udf("double")
+    def some(query: pd.Series, passage: pd.Series) -> pd.Series:
+        return passage.map(lambda t: None if "trial" in t else 1.0)
+
+    udf.register_reranker("some", lambda: some)
+    for how, said in (("none such", "KeyError"), ("some", "have no score")):
+        found = p.answer(q, reranker=how)
+        assert not found.reranker_used and said in found.warnings[-1] and found.documents.count() > 0
+        with pytest.raises((KeyError, RuntimeError)):
+            p.answer(q, reranker=how, strict_reranker=True)
+    assert p.answer(q, reranker="overlap").reranker_used
+    off = p.answer(q, reranker="overlap", disable_reranker=True)
+    assert not off.reranker_used and "disabled" in off.warnings[-1]
+    with pytest.raises(ValueError):
+        p.answer(q, reranker="overlap", strict_reranker=True, disable_reranker=True)
+
+
+def test_an_instruction_comes_before_queries_only(spark):
+    udf.register_embedding("asked", udf.hash_embedding, "find ")
+    df = spark.createDataFrame([("a",), (" ",)], "t string")
+    plain = [list(r.embedding) for r in vectors.embed(spark.createDataFrame([("find a",), (" ",)], "t string"), "t", "asked", dim=32).collect()]
+    asked = [list(r.embedding) for r in vectors.embed_queries(df, "t", "asked", dim=32).collect()]
+    assert sorted(plain) == sorted(asked)
+
+
+def test_vector_index(spark, tmp_path):
+    index = VectorIndex(spark, str(tmp_path / "index"))
+    with pytest.raises(AnalysisException):
+        VectorIndex.open(spark, index.path)
+    rows = [(f"c{i}", [float(i), 1.0], "x" if i % 2 else "y", i % 3, f"p{i % 3}") for i in range(9)] + [(None, [1.0, 1.0], "x", 0, "p0"), ("null", None, "x", 0, "p0")]
+    df = spark.createDataFrame(rows, "chunk_id string, embedding array<float>, kind string, part_id int, part_file string")
+    assert index.upsert(df.filter("part_id = 1")) == 3 and index.upsert(df.filter("part_id = 1")) == 0
+    index.build(df, only={0, 1})
+    assert index.count() == 6 and sorted(r.part_id for r in index.progress.collect()) == [0, 1]
+    index.build(df)
+    assert index.count() == 9 and {r.part_id: r.chunk_count for r in index.progress.collect()} == {0: 5, 1: 3, 2: 3}
+    assert [r.chunk_id for r in index.get(["c8", "c1", "zz"], include=("kind",)).collect()] == ["c1", "c8"]
+    assert all(abs(sum(x * x for x in r.embedding) - 1) < 1e-6 for r in index.entries.collect())
+    hit = index.query(df.filter("chunk_id = 'c4'").select(F.col("chunk_id").alias("query_id"), "embedding"), 1, {"kind": "y"}, preview="part_file").first()
+    assert (hit.chunk_id, hit.preview) == ("c4", "p1")
+    assert {r.filter_name: r.status for r in index.check().collect()}["no_result_filter"] == "error"  # the index has no pmcid
+
+
+def test_compare_and_smoke(spark):
+    p, q = small_retrieval(spark)
+    out, warnings = p.compare(q, top_k=4, final_top_k=2)
+    rows = out.groupBy("fusion_strategy", "stage").count().collect()
+    assert len(rows) == 6 and {r.stage for r in rows} == {"final", "fused"} and any("disabled" in w for w in warnings)
+    documents, summary, _ = smoke(p, ("metformin", "nothing at all"), final_top_k=2)
+    got = {r["query"]: r for r in summary.collect()}
+    assert got["metformin"].first_document == "d0" and got["metformin"].from_keyword > 0 and documents.count() == sum(r.results for r in got.values())
