@@ -12,6 +12,7 @@ from docweave.operators import bm25, chunking, evaluation, filters, fusion, prof
 from docweave.operators.common import row_index, tall, top_per_group
 from docweave.plans.retrieval import Retrieval
 from docweave.session import ship
+from docweave.storage import cut_lineage
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -300,7 +301,7 @@ def _keyword(spark, sf_dir, k=20):
 
 def _fused(spark, sf_dir, k=None):
     vector = _vector(spark, sf_dir).withColumn("score", F.round("score", 9))
-    m = fusion.merge(vector, _keyword(spark, sf_dir))
+    m = cut_lineage(fusion.merge(vector, _keyword(spark, sf_dir)), "candidates")  # for all strategies
     out = None
     for s in ("simple", "rrf", "weighted"):
         f = fusion.fuse(m, s, k).select("query_id", "chunk_id", "fusion_strategy", "fusion_rank", "fusion_score")
@@ -359,7 +360,7 @@ metrics AS (SELECT query_id, fusion_strategy, coalesce(pool, 0) AS pool, got, CA
 
 
 def _judged(spark, sf_dir):
-    r = _final(spark, sf_dir)
+    r = cut_lineage(_final(spark, sf_dir), "final")
     j = r.select("query_id", "document_key").distinct().withColumn("relevance_label", ((F.col("document_key") * 7 + F.col("query_id")) % 3).cast("int"))
     return r, j
 
