@@ -223,8 +223,7 @@ def short_hash(c: Column | str) -> Column:
 
 def text_hash(c: Column | str) -> Column:
     """SHA-1 of the lower-cased, collapsed text; empty for empty text."""
-    t = F.lower(collapse(c))
-    return F.when(t == "", "").otherwise(F.sha1(t.cast("binary")))
+    return F.when(is_empty(c), "").otherwise(F.sha1(F.lower(collapse(c)).cast("binary")))
 
 
 def chunk_doc_id(pmcid: Column | str, pmid: Column | str, source: Column | str) -> Column:

@@ -68,8 +68,9 @@ def group_summary(df: DataFrame, group: str, column: str, order: list[str]) -> D
 
 def duplicate_rows(df: DataFrame, key: Column) -> DataFrame:
     """One row: rows whose key occurs more than once, and keys that do; empty keys don't count."""
-    counts = spread(df).select(key.alias("k")).filter(F.coalesce("k", F.lit("")) != "").groupBy("k").agg(F.count("*").alias("n"))
-    return counts.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    counts = spread(df).select(key.alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    twice = (F.col("n") > 1) & (F.coalesce("k", F.lit("")) != "")  # a filter would work the key out a second time
+    return counts.agg(F.coalesce(F.sum(F.when(twice, F.col("n"))), F.lit(0)).alias("duplicate_rows"), F.count_if(twice).alias("duplicate_keys"))
 
 
 def with_duplicates(df: DataFrame, key: Column, name: str = "occurrences") -> DataFrame:
