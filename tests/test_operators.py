@@ -273,6 +273,22 @@ def test_query_columns():
         understanding.query_columns("a query")
 
 
+def test_spans_are_not_the_side_that_is_broadcast(spark, tmp_path):
+    spark.createDataFrame([(f"aspirin and {w} " * 40,) for w in "abcdef"], "query string").write.parquet(str(tmp_path / "q"))
+    concepts = spark.createDataFrame([("D1", "Aspirin", ["aspirin"], "d")], "concept_id string, preferred_term string, terms array<string>, record_type string")
+    for terms, joins in ((None, ["BroadcastHashJoin"]), (concepts, ["BroadcastHashJoin", "SortMergeJoin"])):
+        found = understanding.entities(spark.read.parquet(str(tmp_path / "q")), terms)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(re.findall(r"\w+Join(?= \[key)", plan)) == joins and "BuildLeft" not in plan
+        assert {tuple((e.normalized, e.start) for e in r.entities) for r in found.collect()} == {(("aspirin" if terms is None else "Aspirin", 0),)}
+
+
+def test_whole_queries_are_spans_once(spark):
+    for q, n in (("a b", 3), ("a b c d e f g h", 36), ("a b c d e f g h i", 45), ("a-", 2), ("-", 1), ("+a", 2), ("糖尿", 3)):
+        got = [(r.start, r.end) for r in understanding.spans(spark.createDataFrame([(q,)], "query string")).collect()]
+        assert len(got) == len(set(got)) == n and (0, len(q)) in got
+
+
 def test_understanding(spark):
     rows = [("1", "Does metformin reduce cardiovascular disease?"), ("2", ""), ("3", "2010年关于肺癌EGFR突变的研究"), ("4", "PLoS ONE papers on PCR after 2010"), ("5", "nothing known here"), ("6", "research article in Nature 2015"), ("7", None), ("8", "EGFR mutation " * 200)]
     got = {r.query_id: r for r in understanding.understand(spark.createDataFrame(rows, "query_id string, query string")).collect()}
