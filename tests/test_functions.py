@@ -51,6 +51,13 @@ def test_sentences_encoding_preview(spark):
     assert one(spark, text.preview("t", 12), t="one two three four") == "one two ..."
 
 
+def test_shares_are_written_as_doubles_are(spark):
+    assert one(spark, text.encoding_note("t"), t="�" + "x" * 31) == "severe_encoding_issue bad_chars=1 density=0.0312"
+    pairs = [(k, 20000) for k in range(20001)] + [(b, n) for n in range(1, 400) for b in range(n + 1)] + [(b, 32 * k) for k in range(1, 3000, 7) for b in (k, 3 * k, 5 * k + 1, 32 * k - 1)] + [(1, 2**31 - 1), (2**31 - 2, 2**31 - 1), (2**31 - 1, 2**31 - 1)]
+    got = spark.createDataFrame(pairs, "b int, n int").select("b", "n", text.share_4(F.col("b"), F.col("n")).alias("s")).collect()
+    assert [(r.b, r.n, r.s) for r in got if r.s != f"{r.b / r.n:.4f}"] == []
+
+
 @pytest.mark.parametrize(
     "raw,clean",
     [(None, ""), ("   ", ""), ("什么是糖尿病？", "什么是糖尿病"), ("MI  treatment??!!", "MI treatment"), ("a，，b。c", "a,b.c"), ("EGFR mutation " * 200, ("EGFR mutation " * 200)[:1000].strip())],
