@@ -87,7 +87,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     for name, n in sorted(files, key=lambda f: (int(re.match(r"(?:part-)?(\d*)", f[0])[1] or 0), f[0])):  # by number of the part: names of many parts don't sort
         offsets.append((name, start))
         start += n
-    out = bpe.encode_documents(rows.select(F.struct("doc_id", "file", "at").alias("key"), "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, id_col="key")
+    out = bpe.encode_documents(rows.select(F.struct("doc_id", "file", "at").alias("key"), "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, id_col="key", memo=bpe.SMALL_MEMO, matches=bpe.SMALL_MATCHES)
     out = out.select("key.*", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
     first = F.broadcast(spark.createDataFrame(offsets, "file string, start long"))  # a row for each file
     return out.join(first, "file", "left").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", (F.col("start") + F.col("at")).alias("mix_position"))

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 
 from docweave.llm.common import bounded_batches, release_memory
 
-#: Entries that a task's memos of pieces and of pattern matches may hold.
+#: Entries that a task's memos of pieces and of pattern matches may hold, and those of a worker that stages before have filled.
 MEMO, MATCHES = 500_000, 300_000
+SMALL_MEMO, SMALL_MATCHES = 150_000, 60_000
 _SPACED = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
@@ -97,6 +98,7 @@ class Encoder:
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._matches: dict[str, bytes] = {}
+        self.most_matches = MATCHES
         self.lengths = {r: len(t) for t, r in ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
@@ -200,8 +202,8 @@ class Encoder:
         """Ids as 32-bit integers; the matches' ids are memoised."""
         known = self._matches
         found = self.split.findall(text)
-        if len(known) > MATCHES:
-            known = self._matches = dict(islice(known.items(), MATCHES // 2))
+        if len(known) > self.most_matches:
+            known = self._matches = dict(islice(known.items(), self.most_matches // 2))
         out = []
         for match in found:
             ids = known.get(match)
@@ -230,11 +232,12 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
-def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO, matches: int = MATCHES) -> DataFrame:
     """(id, ids array<int>, decoded binary): the token ids of each whole text and the bytes they decode to.
 
     No shuffle; a row in gives a row out, duplicates and null ids included. A
-    null or empty text has no ids. Other columns are not carried.
+    null or empty text has no ids. Other columns are not carried. memo and
+    matches bound what a task remembers, not what it encodes.
     """
     bounded_batches(df.sparkSession)
     kind = df.schema[id_col].dataType
@@ -243,7 +246,8 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
         import numpy as np
 
         enc = encoder(ranks_path, pattern)
-        memo = PieceMemo(lambda new: [enc.encode_packed(" " + p) for p in new])
+        enc.most_matches = matches
+        pieces_of = PieceMemo(lambda new: [enc.encode_packed(" " + p) for p in new], memo)
         table = np.array([enc.text_of.get(i, b"") for i in range(max(enc.text_of) + 1)], dtype=object)
         try:
             for batch in batches:
@@ -252,7 +256,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
                     parts = pieces(text)
                     head = enc.encode_packed(parts[0]) if parts else b""
                     rest = parts[1:]
-                    known = memo.add(set(rest))
+                    known = pieces_of.add(set(rest))
                     ids.append(head + b"".join(map(known.__getitem__, rest)))
                     decoded.append(b"".join(table[np.frombuffer(ids[-1], dtype=np.int32)].tolist()))
                 flat = np.frombuffer(b"".join(ids), dtype=np.int32)
@@ -260,7 +264,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.binary())], names=[id_col, "ids", "decoded"])
         finally:  # memos are a task's own
-            memo.known = enc._matches = {}
+            pieces_of.known = enc._matches = {}
             release_memory()
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, ids array<int>, decoded binary")

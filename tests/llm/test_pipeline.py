@@ -1,7 +1,10 @@
 import random
+from array import array
+
+import public_tokenizers
 
 import corpus_pipeline as cp
-from docweave.llm import mixing, simhash
+from docweave.llm import bpe, mixing, simhash
 from docweave.llm.common import cut_lineage
 
 from .helpers import DOCS, SCHEMA, documents
@@ -126,3 +129,24 @@ def test_language_stage_keeps_clean_texts_of_any_length(spark):
     docs = spark.createDataFrame([*rows, (2000, "12 34", None, "s", 5), (2001, None, None, "s", 0)], SCHEMA)
     assert len(long) > 2 << 20
     assert {r.doc_id for r in cp.language_id(spark, docs, "").select("doc_id").collect()} == {r[0] for r in rows}
+
+
+def test_tokenize_remembers_less_and_encodes_the_same(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.choice('abcd')}{rng.randrange(3000)}-x,y" for _ in range(200)) for _ in range(30)] + ["", None, "  a\n b "]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    asked, encode = [], bpe.encode_documents
+    monkeypatch.setattr(bpe, "encode_documents", lambda *a, **k: asked.append(k) or encode(*a, **{**k, "memo": 200, "matches": 50}))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in cp.tokenize(spark, docs, "").collect()}
+    assert asked[0]["memo"] < bpe.MEMO and asked[0]["matches"] < bpe.MATCHES
+    whole = {r.doc_id: r for r in bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
+    assert {i: x[0] for i, x in got.items()} == {i: len(r.ids) for i, r in whole.items()}
+    assert {i: x[1:] for i, x in got.items()} == {i: (bpe.sha256_hex(" ".join(map(str, r.ids)).encode()), bpe.sha256_hex(bytes(r.decoded))) for i, r in whole.items()}
+
+
+def test_an_encoder_forgets_matches_over_its_bound():
+    enc = bpe.Encoder(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    enc.most_matches = 50
+    for k in range(500):
+        assert enc.decode(array("i", enc.encode_packed(f" w{k} v{k}"))) == f" w{k} v{k}".encode()
+        assert len(enc._matches) < 60
