@@ -42,7 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest id.
 
     Near-duplicates are joined by pairs whose five-word shingles have a Jaccard
-    similarity of at least 0.8 (``near_copies``; the query op7 has a rule of its own).
+    similarity of at least 0.8 (``near_copies``). Candidates are op7's balls of fingerprints
+    and, since these can't reach that far, MinHash bands.
     Groups are of texts, not ids: unlike texts that share an id all stay. Where like
     texts share the smallest id, the one with the smallest digest stays. Rows without
     an id can't be ranked by it and stay.

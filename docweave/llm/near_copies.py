@@ -1,10 +1,14 @@
 """Near copies by word shingles: texts whose shingle sets have a Jaccard similarity of at least 0.8.
 
 A text is the set of its SIZE-word shingles (of all its words if it has fewer).
-Equal texts are one node. MinHash bands name candidates: BANDS keys of ROWS
-minima each, so a pair at similarity s meets with probability
-1 - (1 - s^ROWS)^BANDS, 0.997 at 0.8. Candidates are then compared by their
-whole shingle sets:
+Equal texts are one node. Buckets name candidates, of two kinds:
+
+* Balls (operator 7): texts whose SimHash fingerprints, of SIZE-word shingles,
+  are joined by links of at most 3 bits.
+* MinHash bands, since balls can't reach 0.8: BANDS keys of ROWS minima each, so a
+  pair at similarity s meets with probability 1 - (1 - s^ROWS)^BANDS, 0.997 at 0.8.
+
+Candidates are then compared by their whole shingle sets:
 
 * Each text of a bucket is compared with one text of the bucket, another one in
   each bucket. That joins large groups of copies with as many comparisons as
@@ -12,7 +16,7 @@ whole shingle sets:
 * In the buckets that then still hold several components, all pairs of texts
   of different components are compared, in blocks of BLOCK texts: nothing is left
   out, and a task's share is bounded. The work of this step grows with the square
-  of a bucket whose texts share a band without being near copies.
+  of a bucket whose texts meet there without being near copies.
 """
 
 from __future__ import annotations
@@ -27,18 +31,21 @@ from pyspark.sql import functions as F
 from docweave.llm.common import bounded_batches, cut_lineage, release_memory
 from docweave.llm.components import components
 from docweave.llm.hashing import mix, random_codes
-from docweave.llm.simhash import shingle_hashes
+from docweave.llm.simhash import balls, fold, shingle_hashes
 
 SIZE, BANDS, ROWS, BLOCK = 5, 32, 8, 1000
 _STEP = 2048
 _MINIMA, _FOLD, _BAND = random_codes(BANDS * ROWS, 11), random_codes(ROWS, 12), random_codes(BANDS, 13)
 
 
-def shingle_set(text: str) -> np.ndarray:
-    parts = list(shingle_hashes(text, SIZE))
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
+def shingle_set(text: str) -> np.ndarray:
+    return _distinct(list(shingle_hashes(text, SIZE)))
+
+
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(shingles), _STEP):
@@ -91,10 +98,15 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(shingle_set(x.as_py() or "")) for x in batch.column(2)]
+            keys, fps = [], []
+            for x in batch.column(2):
+                parts = list(shingle_hashes(x.as_py() or "", SIZE))
+                keys.append(band_keys(_distinct(parts)))
+                fps.append(fold(parts))
             flat = pa.array(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], names=["id", "digest", "keys"])
+            fps = pa.array(np.array(fps, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps, keys], names=["id", "digest", "fp", "keys"])
         release_memory()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,10 +115,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
         release_memory()
 
-    signed = rows.mapInArrow(sign, f"id {kind}, digest binary, keys array<bigint>")
-    one = signed.groupBy("digest").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
+    signed = rows.mapInArrow(sign, f"id {kind}, digest binary, fp bigint, keys array<bigint>")
+    one = signed.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
     nodes = cut_lineage(one.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    members = nodes.select("node", F.explode("keys").alias("key"))
+    ball = balls(cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("node")), "nodes"))
+    members = nodes.select("node", F.explode("keys").alias("key")).union(nodes.join(ball, "fp").select("node", F.xxhash64(F.lit("ball"), "component").alias("key")))
     # one text of each bucket, another one from bucket to bucket
     hubs = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("hub")).filter("n > 1")
     shared = cut_lineage(members.join(hubs.select("key", "n", F.col("hub.node").alias("hub")), "key"), "buckets")

@@ -23,7 +23,7 @@ Equal fingerprints are one node from the start.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +56,10 @@ def shingle_hashes(text: str, size: int) -> Iterator[np.ndarray]:
         yield np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + _PART], ends[k : k + _PART], strict=True)], dtype="<u8")
 
 
-def fingerprint(text: str, size: int = 3) -> int:
-    """64 bits: each is set if it is set in over half of the hashes of the text's word shingles; 0 without words."""
+def fold(parts: Iterable[np.ndarray]) -> int:
+    """64 bits: each is set if it is set in over half of the hashes; 0 without hashes."""
     total, n = np.zeros(64, np.int64), 0
-    for h in shingle_hashes(text, size):
+    for h in parts:
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
         # eight byte-wide counters in a word; 255 rows can't overflow them
         total += np.add.reduceat(bits, np.arange(0, len(h), 255), axis=0).view(np.uint8).sum(axis=0, dtype=np.int64)
@@ -67,6 +67,11 @@ def fingerprint(text: str, size: int = 3) -> int:
     return int(np.packbits(total * 2 > n, bitorder="little").view("<u8")[0]) if n else 0
 
 
+def fingerprint(text: str, size: int = 3) -> int:
+    """The fold of the hashes of the text's word shingles."""
+    return fold(shingle_hashes(text, size))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp bigint): a row in, a row out; a null text counts as empty."""
     bounded_batches(df.sparkSession)
@@ -203,6 +208,12 @@ def links(nodes: DataFrame, group: int | None = None, split: int = SPLIT) -> Dat
     return sent.groupBy("part", "salt").applyInArrow(run, "a bigint, b bigint")
 
 
+def balls(nodes: DataFrame) -> DataFrame:
+    """(fp, component): the smallest node that each fingerprint reaches over links of at most 3 bits; nodes as in :func:`links`."""
+    label = components(links(nodes), "a", "b")
+    return nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp bigint, component_id): the smallest id reachable over links of at most 3 differing bits.
 
@@ -212,6 +223,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     docs = cut_lineage(fingerprints(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text"), "fingerprints")
     nodes = cut_lineage(docs.groupBy("fp").agg(F.min("id").alias("node")).filter("node is not null"), "nodes")
-    label = components(links(nodes), "a", "b")
-    named = nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
+    named = balls(nodes).withColumnRenamed("component", "component_id")
     return docs.join(named, "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")

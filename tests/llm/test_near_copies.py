@@ -3,6 +3,7 @@ from itertools import combinations
 
 import corpus_pipeline as cp
 from docweave.llm import near_copies as N
+from docweave.llm.simhash import fingerprint
 
 from .helpers import SCHEMA
 
@@ -37,6 +38,30 @@ def test_stage_finds_planted_copies_and_leaves_the_rest(spark):
     assert kept == {r[0] for r in rows} - near
 
 
+def test_balls_find_what_no_band_finds(spark):
+    rng = random.Random(66538)
+    words = [f"w{rng.randrange(20000)}" for _ in range(140)]
+    texts = [" ".join(words), " ".join(edited(rng, words, 3)), " ".join(words[:70] + [f"v{i}" for i in range(70)])]
+    keys = [N.band_keys(N.shingle_set(t)) for t in texts]
+    assert not (keys[0] == keys[1]).any() and jaccard(shingles(texts[0]), shingles(texts[1])) >= 0.8 and (fingerprint(texts[0], 5) ^ fingerprint(texts[1], 5)).bit_count() <= 3
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in cp.near_dedup(spark, docs, "").collect()} == {0, 2}
+
+
+def test_members_of_a_ball_are_compared_in_pairs(spark, monkeypatch):
+    rng = random.Random(8)  # no band is shared; all texts are in one ball
+    monkeypatch.setattr(N, "balls", lambda nodes: nodes.selectExpr("fp", "1L AS component"))
+    monkeypatch.setattr(N, "band_keys", lambda s: s.sum() + N.np.arange(N.BANDS, dtype=N.np.uint64))
+    texts = []
+    for k in range(6):
+        words = [f"{k}x{i}" for i in range(100)]
+        texts += [" ".join(words), " ".join(edited(rng, words, 1))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {bytes(r.digest): r.component for r in N.near_copies(docs).collect()}
+    got = [found[bytes(r.d)] for r in docs.select("doc_id", N.text_digest(docs.text).alias("d")).orderBy("doc_id").collect()]
+    assert got[::2] == got[1::2] and len(set(got)) == 6
+
+
 def test_components_of_one_large_mixed_group(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 7)
     rng = random.Random(6)
