@@ -24,11 +24,13 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweave.llm.common import bounded_batches, release_memory
+from docweave.llm.common import SMALL_BATCH_BYTES, bounded_batches, release_memory
 
 #: Entries that a task's memos of pieces and of pattern matches may hold, and those of a worker that stages before have filled.
 MEMO, MATCHES = 500_000, 300_000
 SMALL_MEMO, SMALL_MATCHES = 150_000, 60_000
+#: Pairs of adjacent tokens that an encoder remembers.
+FITS = 200_000
 _SPACED = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
@@ -154,6 +156,10 @@ class Encoder:
             else:  # the same token on both sides: the right one's last merge is the later
                 b, limit = pb_[0], min(limit, b + 1)
         if below == 1 << 60:
+            if len(self._fits) >= FITS:  # emptied in place, since a caller may hold it; the older half stays
+                older = list(islice(self._fits.items(), FITS // 2))
+                self._fits.clear()
+                self._fits.update(older)
             self._fits[key] = answer
         return answer
 
@@ -239,7 +245,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
     null or empty text has no ids. Other columns are not carried. memo and
     matches bound what a task remembers, not what it encodes.
     """
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, SMALL_BATCH_BYTES)
     kind = df.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,6 +271,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.binary())], names=[id_col, "ids", "decoded"])
         finally:  # memos are a task's own
             pieces_of.known = enc._matches = {}
+            enc._fits.clear()
             release_memory()
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, ids array<int>, decoded binary")

@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from docweave.storage import checkpoint_dir, cut_lineage, drop_written
 
-__all__ = ["BATCH_BYTES", "bounded_batches", "by_position", "checkpoint_dir", "crc_mod", "cut_lineage", "drop_written", "release_memory", "replace_file", "row_hash", "shared_folder", "table"]
+__all__ = ["BATCH_BYTES", "SMALL_BATCH_BYTES", "bounded_batches", "by_position", "checkpoint_dir", "crc_mod", "cut_lineage", "drop_written", "release_memory", "replace_file", "row_hash", "shared_folder", "table"]
 
 #: An Arrow batch handed to a Python worker holds at most this many bytes of input (one row at least).
 BATCH_BYTES = 8 << 20
+#: The same for work that holds a batch several times over.
+SMALL_BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +64,10 @@ def release_memory() -> None:
     import ctypes
     import gc
 
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim is not None:
         trim(0)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, by_position, release_memory
+from docweave.llm.common import SMALL_BATCH_BYTES, bounded_batches, by_position, release_memory
 from docweave.llm.kneser_ney import texts_of
 
 DIM = 1 << 14
@@ -41,7 +41,8 @@ _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[97:123] = True
-_PIECE = 1 << 20
+#: Bytes of text that are looked at together: working arrays take some 30 times as much.
+_PIECE = 1 << 18
 
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -49,26 +50,29 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     out = np.zeros((n, DIM), bool)
     flat = out.reshape(-1)
-    low = _LOWER[data]
-    row = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
     for a in range(0, len(data), _PIECE):
-        b = min(len(data), a + _PIECE)
+        far = min(len(data), a + _PIECE + LENGTHS - 1)  # n-grams that begin in the piece may end behind it
+        low = _LOWER[data[a:far]]
+        i, j = (np.searchsorted(offsets, [a, far - 1], side="right") - 1).tolist()
+        row = np.repeat(np.arange(i, j + 1, dtype=np.int64), np.diff(np.clip(offsets[i : j + 2], a, far)))
         code = np.zeros(0, np.uint32)
         for p in range(1, LENGTHS + 1):
-            end = min(b, len(data) - p + 1)
-            if end <= a:
+            end = min(_PIECE, far - a - p + 1)
+            if end <= 0:
                 break
-            code = low[a:end].copy() if p == 1 else (code[: end - a] << np.uint32(8)) | low[a + p - 1 : end + p - 1]
+            code = low[:end].copy() if p == 1 else (code[:end] << np.uint32(8)) | low[p - 1 : end + p - 1]
             bucket = ((code + np.uint32(p << 24)) * np.uint32(2654435761)) >> np.uint32(18)
-            first, last = row[a:end], row[a + p - 1 : end + p - 1]
+            first, last = row[:end], row[p - 1 : end + p - 1]
             at = first * DIM + bucket
             flat[at if p == 1 else at[first == last]] = True
     return out
 
 
 def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    seen = np.concatenate([[0], np.cumsum(_ASCII_LETTER[_LOWER[data]])])
-    out = seen[offsets[1:]] > seen[offsets[:-1]]
+    out = np.zeros(len(offsets) - 1, bool)
+    for a in range(0, len(data), _PIECE):
+        at = np.flatnonzero(_ASCII_LETTER[_LOWER[data[a : a + _PIECE]]]) + a
+        out[np.searchsorted(offsets, at, side="right") - 1] = True
     for k in np.flatnonzero(~out & (np.diff(offsets) > 0)):
         out[k] = _LETTER.search(column[int(k)].as_py() or "") is not None
     return out
@@ -100,7 +104,7 @@ def fit(bits: np.ndarray, labels: list[str], landmarks: int = LANDMARKS) -> tupl
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Fit on rows of df whose language isn't null."""
-    bounded_batches(df.sparkSession, 2 << 20)
+    bounded_batches(df.sparkSession, SMALL_BATCH_BYTES)
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
     rows = df.filter(lang.isNotNull()).select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("h"))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
@@ -129,7 +133,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
 
     score is a soft maximum over the languages, 0 to 1. A row in, a row out.
     """
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, SMALL_BATCH_BYTES)
     names, weight = model
     sent = df.sparkSession.sparkContext.broadcast(weight)  # DIM x languages: a fixed size
     rows = by_position(df)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import bounded_batches, cut_lineage, release_memory
+from docweave.llm.common import SMALL_BATCH_BYTES, bounded_batches, cut_lineage, release_memory
 from docweave.llm.components import components
 from docweave.llm.hashing import mix, random_codes
 from docweave.llm.simhash import balls, fold, shingle_hashes
@@ -92,7 +92,7 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(digest, component bigint): a row for each distinct text (``text_digest``); null counts as empty. Ids must not be null."""
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, SMALL_BATCH_BYTES)
     rows = df.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -119,6 +119,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     one = signed.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
     nodes = cut_lineage(one.withColumn("node", F.monotonically_increasing_id()), "nodes")
     ball = balls(cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("node")), "nodes"))
+    bounded_batches(df.sparkSession, SMALL_BATCH_BYTES)  # balls have set their own
     members = nodes.select("node", F.explode("keys").alias("key")).union(nodes.join(ball, "fp").select("node", F.xxhash64(F.lit("ball"), "component").alias("key")))
     # one text of each bucket, another one from bucket to bucket
     hubs = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("hub")).filter("n > 1")

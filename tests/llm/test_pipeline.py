@@ -1,10 +1,13 @@
 import random
+import tracemalloc
 from array import array
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 import corpus_pipeline as cp
-from docweave.llm import bpe, mixing, simhash
+from docweave.llm import bpe, lang_id, mixing, simhash
 from docweave.llm.common import cut_lineage
 
 from .helpers import DOCS, SCHEMA, documents
@@ -150,3 +153,43 @@ def test_an_encoder_forgets_matches_over_its_bound():
     for k in range(500):
         assert enc.decode(array("i", enc.encode_packed(f" w{k} v{k}"))) == f" w{k} v{k}".encode()
         assert len(enc._matches) < 60
+
+
+def test_an_encoder_forgets_pairs_over_its_bound(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(40)) for _ in range(20)]
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    whole = bpe.Encoder(bpe.read_ranks(path), public_tokenizers.PATTERN)
+    want = [whole.encode(t) for t in texts]
+    assert len(whole._fits) > 400
+    monkeypatch.setattr(bpe, "FITS", 40)
+    enc = bpe.Encoder(whole.ranks, public_tokenizers.PATTERN)
+    for text, ids in zip(texts, want, strict=True):
+        assert enc.encode(text) == ids and len(enc._fits) <= 40
+
+
+def test_language_of_a_large_batch_takes_little_memory():
+    texts = ["1 2", "", "ab" * (1 << 21), "", "12" * (1 << 18), "\u00e9", "7", "", "z"]
+    column = pa.array(texts, pa.large_string())
+    data, offsets = lang_id.texts_of(column)
+    tracemalloc.start()
+    letters = lang_id.has_letter(column, data, offsets)
+    bits = lang_id.presence(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20 < 4 * len(data)
+    assert letters.tolist() == [False, False, True, False, False, True, False, False, True]
+    assert bits.sum(axis=1).tolist() == [6, 0, 6, 0, 6, 3, 1, 0, 1]
+
+
+def test_presence_does_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("aB \u00fc\u4e2d", k=rng.choice([0, 0, 1, 2, 3, 9, 40]))) for _ in range(60)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    want, column = lang_id.presence(data, offsets), pa.array(texts)
+    letters = [any(c.isalpha() for c in t) for t in texts]
+    for piece in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(lang_id, "_PIECE", piece)
+        assert np.array_equal(lang_id.presence(data, offsets), want)
+        assert lang_id.has_letter(column, data, offsets).tolist() == letters
