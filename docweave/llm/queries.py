@@ -63,7 +63,7 @@ def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_bytes",
         F.length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.expr("right(payload, 16)")).alias("tail_crc32"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"),  # bytes; right() would take characters
         F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         F.concat_ws(":", "n_frames", F.crc32("patches"), F.size("segments"), F.round(F.coalesce(F.aggregate("segments", F.lit(0.0), lambda a, s: a + s.end_ms - s.start_ms), F.lit(0.0)), 1)).alias("feature"),

@@ -137,6 +137,15 @@ def test_op8(spark, folder):
         assert r.media_bytes > r.payload_bytes and feature.setdefault(data, (r.feature, r.media_sha256)) == (r.feature, r.media_sha256)
 
 
+def test_op8_tail_is_the_last_bytes(spark, tmp_path):
+    texts = ["a" * 190 + "é", "a" * 191 + "é", "漢" * 64, "🙂" * 48, "é" * 95, "a" * 184 + "é" * 4]
+    documents(spark, [(k, t, None, None, None) for k, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    payloads = [t.encode() + b" " * (-len(t.encode()) % 192) for t in texts]
+    rows = queries.op8_audio_features(spark, str(tmp_path)).collect()
+    assert in_rows(rows, "doc_id", "tail_crc32") == [(k, zlib.crc32(p[-16:])) for k, p in enumerate(payloads)]
+    assert in_rows(rows, "doc_id", "payload_sha256") == [(k, hashlib.sha256(p).hexdigest()) for k, p in enumerate(payloads)]
+
+
 def test_op9(spark, folder):
     rows = run(spark, folder, "op9_pii", "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
     text = dict(TEXTS)[8]
